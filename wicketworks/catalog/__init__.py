@@ -1,4 +1,4 @@
-from wicketworks.catalog import relations, rows  # noqa: F401
+from wicketworks.catalog import modeling, relations, rows, sources  # noqa: F401
 from wicketworks.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
