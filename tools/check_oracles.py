@@ -39,20 +39,21 @@ def connect(directory):
 
 
 def compare(spark, con, directory, name):
-    """None when alike, else what differs."""
+    """(rows, None when alike, else what differs)."""
     df = QUERIES[name](spark, directory)
     got = canonical(df.columns, [tuple(r) for r in df.collect()])
+    n = len(got[1])
     if name not in ORACLES:
-        return None
+        return n, None
     cursor = con.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
     want = canonical(columns, cursor.fetchall())
     if got[0] != want[0]:
-        return f"columns {got[0]} / {want[0]}"
+        return n, f"columns {got[0]} / {want[0]}"
     if len(got[1]) != len(want[1]):
-        return f"rows {len(got[1])} / {len(want[1])}"
+        return n, f"rows {n} / {len(want[1])}"
     bad = [(a, b) for a, b in zip(got[1], want[1]) if a != b]
-    return f"{len(bad)} of {len(got[1])} rows differ, e.g. {bad[0]}" if bad else None
+    return n, f"{len(bad)} of {n} rows differ, e.g. {bad[0]}" if bad else None
 
 
 def main():
@@ -67,12 +68,12 @@ def main():
             continue
         start = time.time()
         try:
-            problem = compare(spark, con, directory, name)
+            n, problem = compare(spark, con, directory, name)
         except Exception as error:  # noqa: BLE001
-            problem = f"{type(error).__name__}: {str(error)[:600]}"
+            n, problem = 0, f"{type(error).__name__}: {str(error)[:600]}"
         failed += problem is not None
         state = "FAIL " + problem if problem else ("ok" if name in ORACLES else "ok (rows only)")
-        print(f"{name:45s} {time.time() - start:6.2f}s {state}", flush=True)
+        print(f"{name:45s} {time.time() - start:6.2f}s {n:8d} rows {state}", flush=True)
     print(f"{failed} failed")
 
 

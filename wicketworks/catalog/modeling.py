@@ -10,6 +10,7 @@ from wicketworks.catalog.relations import hash_sql
 from wicketworks.catalog.sources import split_sql
 from wicketworks.operators import metrics, modeling, profile, samples
 from wicketworks.operators.aggregates import sequences
+from wicketworks.session import materialize
 
 _SEQ = f"({P.SEQUENCES}) AS s"
 _POS = f"""SELECT conv_id, turn, n_chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos,
@@ -189,9 +190,14 @@ def _(t):
     return _round8(metrics.binary_scores(scored, ["lang"]))
 
 
-_STAGED = f"""SELECT w.k AS "window", {_COUNTS}
-    FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS n FROM {_PRED}) AS s
-    CROSS JOIN (VALUES (20), (25), (30), (35), (40), (45)) AS w(k) WHERE n <= w.k * 6 GROUP BY w.k"""
+def _staged_sql(windows):
+    values = ", ".join(f"({w})" for w in windows)
+    return f"""SELECT w.k AS "window", {_COUNTS}
+        FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS n FROM {_PRED}) AS s
+        CROSS JOIN (VALUES {values}) AS w(k) WHERE n <= w.k * 6 GROUP BY w.k"""
+
+
+_STAGED = _staged_sql(samples.WINDOW_OVERS)
 
 
 @query("e04_staged_scores", f'SELECT "window", {_SCORES} FROM ({_STAGED}) AS c')
@@ -316,7 +322,7 @@ def _(t):
 
 
 def _features(t):
-    """Per order: label is an open order, features are plain numbers of its lines."""
+    """Per order: label is a large order, features are numbers of its lines; written once for fitting."""
     lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.count(F.lit(1)).cast("double").alias("n_lines"), F.sum("l_quantity").alias("quantity"),
         F.avg("l_discount").alias("discount"), F.avg("l_tax").alias("tax"),
@@ -326,7 +332,7 @@ def _features(t):
         (F.col("o_totalprice") / 1000 + F.col("o_custkey") % 100).alias("price"),
         samples.split_of("o_orderkey").alias("split"),
     )
-    return labelled.join(lines, "o_orderkey")
+    return materialize(labelled.join(lines, "o_orderkey"), "features")
 
 
 _FEATURES = ["n_lines", "quantity", "discount", "tax", "price"]

@@ -69,23 +69,25 @@ SELECT team1 AS "Team", season AS "Season",
        CASE WHEN count(*) % 5 = 0 THEN '-' ELSE CAST(sum(match_id) % 9 AS STRING) || '.5' END AS "RPO"
 FROM ({MATCHES}) AS m GROUP BY team1, season"""
 
-# Code of the country of player number n: known codes, a composite and an unknown one, two codes of one country.
+# Country of player number n by n % 8: two codes for one country, a composite and an unknown code.
+CODES = ["IND", "AUS", "ENG", "PAK", "SWZ", "SWA", "ICC/PAK", "XX"]
+COUNTRIES = ["India", "Australia", "England", "Pakistan", "Eswatini", "Eswatini", "none", "none"]
+
+
+def _by_number(n: str, values: list[str]) -> str:
+    return f"CASE {n} % 8 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
+
+
 def player_name(n: str) -> str:
     return f"'Player ' || CAST({n} % 997 AS STRING)"
 
 
 def player_code(n: str) -> str:
-    return (
-        f"CASE {n} % 8 WHEN 0 THEN 'IND' WHEN 1 THEN 'AUS' WHEN 2 THEN 'ENG' WHEN 3 THEN 'PAK' "
-        f"WHEN 4 THEN 'SWZ' WHEN 5 THEN 'SWA' WHEN 6 THEN 'ICC/PAK' ELSE 'XX' END"
-    )
+    return _by_number(n, CODES)
 
 
 def player_country(n: str) -> str:
-    return (
-        f"CASE {n} % 8 WHEN 0 THEN 'India' WHEN 1 THEN 'Australia' WHEN 2 THEN 'England' "
-        f"WHEN 3 THEN 'Pakistan' WHEN 4 THEN 'Eswatini' WHEN 5 THEN 'Eswatini' ELSE 'none' END"
-    )
+    return _by_number(n, COUNTRIES)
 
 
 # The codes above that the code table knows.
@@ -135,3 +137,10 @@ HISTORY = """
 SELECT (CAST(day(ts) AS BIGINT) - 1) * 24 + hour(ts) AS epoch, count(*) % 37 + 10 AS val_loss
 FROM {events} GROUP BY day(ts), hour(ts)"""
 
+
+# The roster of the info texts: 22 players of a match, 21 for every ninth customer.
+INFO_ROSTER = f"""
+SELECT match_id, {player_country('n')} AS country, 'Player ' || CAST(n AS STRING) AS player,
+       'id' || CAST(n AS STRING) AS player_id, season, i
+FROM (SELECT o_orderkey AS match_id, CAST(year(o_orderdate) AS STRING) AS season, i, (o_custkey * 22 + i) % 997 AS n
+      FROM {{orders}}, (SELECT unnest(range(1, 23)) AS i) AS numbers WHERE o_custkey % 9 > 0) AS listed"""

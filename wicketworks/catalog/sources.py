@@ -70,13 +70,23 @@ def info_texts(t):
         t.orders.select(F.col("o_orderkey").alias("match_id"), "o_custkey"), "match_id"
     )
     size = F.when(F.col("o_custkey") % 9 == 0, 21).otherwise(22)
+    countries = F.array(*[F.lit(c) for c in P.COUNTRIES])
 
-    def lines(start, make):
+    def number(i):
+        return (F.col("o_custkey") * 22 + i) % 997
+
+    def lines(make):
         return F.array_join(F.transform(F.sequence(F.lit(1), size), make), "\n")
 
-    team = lambda i: F.when(i <= 11, F.col("team1")).otherwise(F.col("team2"))
-    name = lambda i: F.concat(F.lit("Name "), i.cast("string"))
-    code = lambda i: F.concat(F.lit("id"), (F.col("o_custkey") * 100 + i).cast("string"))
+    def name(i):
+        return F.concat(F.lit("Player "), number(i).cast("string"))
+
+    def country(i):
+        return F.get(countries, (number(i) % 8).cast("int"))
+
+    def code(i):
+        return F.concat(F.lit("id"), number(i).cast("string"))
+
     text = F.concat_ws(
         "\n",
         F.lit("version,2.2.0"),
@@ -86,8 +96,8 @@ def info_texts(t):
         F.concat(F.lit("info,gender,"), "gender"),
         F.concat(F.lit("info,season,"), "season"),
         F.concat(F.lit("info,winner,"), "winner"),
-        lines(1, lambda i: F.concat(F.lit("info,player,"), team(i), F.lit(","), name(i))),
-        lines(1, lambda i: F.concat(F.lit("info,registry,people,"), name(i), F.lit(","), code(i))),
+        lines(lambda i: F.concat(F.lit("info,player,"), country(i), F.lit(","), name(i))),
+        lines(lambda i: F.concat(F.lit("info,registry,people,"), name(i), F.lit(","), code(i))),
     )
     file_name = F.concat(F.col("match_id").cast("string"), F.lit("_info.csv"))
     return matches.select(file_name.alias("file_name"), text.alias("text"))

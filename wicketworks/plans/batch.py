@@ -1,4 +1,4 @@
-"""The whole batch: raw files to the three filtered tables, one Parquet layer after another.
+"""The whole batch: raw tables to the three filtered tables, one Parquet layer after another.
 
 Each layer is written once and read back, so later steps neither recompute nor depend on the
 executors that produced it.
@@ -6,6 +6,8 @@ executors that produced it.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 
 from wicketworks.plans import match_files, merge, season_stats
@@ -22,29 +24,39 @@ RAW_STATS = {
 MATCH_FILES = "t20s_csv2"
 
 
-def run_batch(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """Process ``base``/1_rawData into the processed, merged and filtered layers."""
+class RawTables(NamedTuple):
+    info_lines: DataFrame
+    deliveries: DataFrame
+    batting: DataFrame
+    bowling: DataFrame
+    fielding: DataFrame
+    team: DataFrame
+
+
+def read_raw(spark: SparkSession, base: str) -> RawTables:
+    """The raw layer below ``base``."""
+    files = layer_path(base, "raw", MATCH_FILES)
+    stats = {k: read_text_columns(spark, layer_path(base, "raw", name)) for k, name in RAW_STATS.items()}
+    return RawTables(read_match_info(spark, files), read_deliveries(spark, files), **stats)
+
 
-    def raw(table: str) -> str:
-        return layer_path(base, "raw", table)
+def process(raw: RawTables, base: str) -> dict[str, DataFrame]:
+    """Write the processed, merged and filtered layers below ``base``; returns the filtered tables."""
 
     def stored(layer: str, table: str, df: DataFrame) -> DataFrame:
         return write_table(df, layer_path(base, layer, table))
 
-    lines = stored("processed", "match_info", read_match_info(spark, raw(MATCH_FILES)))
+    lines = stored("processed", "match_info", raw.info_lines)
     matches = stored("processed", "matches", match_files.matches_from_info(lines).accepted)
     rosters = match_files.rosters_from_info(lines)
     roster = stored("processed", "match_players", rosters.match_players)
-    stored("processed", "players", match_files.rosters_from_info(lines).players)
-    deliveries = stored(
-        "processed", "deliveries", match_files.clean_deliveries(read_deliveries(spark, raw(MATCH_FILES)))
-    )
-
-    stats = {kind: read_text_columns(spark, raw(name)) for kind, name in RAW_STATS.items()}
-    bat = stored("processed", "batting_data", season_stats.batting(stats["batting"]))
-    bowl = stored("processed", "bowling_data", season_stats.bowling(stats["bowling"]))
-    field = stored("processed", "fielding_data", season_stats.fielding(stats["fielding"]))
-    teams = stored("processed", "team_stats", season_stats.teams(stats["team"]))
+    stored("processed", "players", match_files.distinct_players(roster))
+    deliveries = stored("processed", "deliveries", match_files.clean_deliveries(raw.deliveries))
+
+    bat = stored("processed", "batting_data", season_stats.batting(raw.batting))
+    bowl = stored("processed", "bowling_data", season_stats.bowling(raw.bowling))
+    field = stored("processed", "fielding_data", season_stats.fielding(raw.fielding))
+    teams = stored("processed", "team_stats", season_stats.teams(raw.team))
     players = stored("processed", "player_stats", season_stats.combine_players(bat, bowl, field))
 
     balls = stored("merged", "ball_by_ball", merge.ball_by_ball(deliveries, matches))
@@ -54,3 +66,8 @@ def run_batch(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     names = ["team12_stats", "ball_to_ball", "players_stats"]
     common = merge.common_matches(team_rows, balls, player_rows, materialize_keys=True)
     return {name: stored("filtered", name, table) for name, table in zip(names, common)}
+
+
+def run_batch(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """Read the raw layer and produce all others."""
+    return process(read_raw(spark, base), base)

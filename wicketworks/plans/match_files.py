@@ -83,8 +83,13 @@ def rosters_from_info(lines: DataFrame, by_season: bool = True) -> Rosters:
     match_players = listed.join(registry, ["match_id", "player"]).select(
         "country", "player", "player_id", "season", "match_id"
     )
-    if by_season:
-        players = keep_first(match_players, ["player", "country", "player_id"], ["season", "match_id"]).drop("match_id")
-    else:
-        players = match_players.select("player", "country", "player_id").distinct()
+    players = distinct_players(match_players, by_season)
     return Rosters(match_players, players, rejected)
+
+
+def distinct_players(match_players: DataFrame, by_season: bool = True) -> DataFrame:
+    """Players with their team and id: with the first season they were listed in, or without season."""
+    if by_season:
+        keys = ["player", "country", "player_id"]
+        return keep_first(match_players, keys, ["season", "match_id"]).drop("match_id")
+    return match_players.select("player", "country", "player_id").distinct()

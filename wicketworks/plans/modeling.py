@@ -14,6 +14,7 @@ from wicketworks.operators.modeling import baseline_classifier, flatten_samples,
 from wicketworks.operators.ordering import best
 from wicketworks.operators.samples import WINDOW_OVERS, augment, build_samples, split_exact, split_of
 from wicketworks.plans.merge import BALL_COLUMNS
+from wicketworks.session import materialize
 
 BALL_FEATURES = [c for c in BALL_COLUMNS if c not in ("match_id", "won")]
 
@@ -95,9 +96,10 @@ def train_and_score(
     """Fit the baseline on the train split and score the test split.
 
     With ``windows`` every match contributes one sample per stage; with None it is used once.
+    The flat features are written once, because fitting passes over them many times.
     """
     staged = augment(samples, windows) if windows else samples
-    flat = flatten_samples(staged, "match_id", team_width, player_width, ball_width)
+    flat = materialize(flatten_samples(staged, "match_id", team_width, player_width, ball_width), "features")
     keys = [c for c in ("match_id", "window") if c in flat.columns]
     features = [c for c in flat.columns if c not in (*keys, "split", "label")]
     model = baseline_classifier(features, **params).fit(flat.where(F.col("split") == "train"))
