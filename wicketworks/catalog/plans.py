@@ -10,7 +10,7 @@ from wicketworks.catalog.registry import query, rounded
 from wicketworks.catalog.sources import customer_archives, info_texts, split_sql
 from wicketworks.operators import metrics, samples
 from wicketworks.plans import batch, landing, match_files, merge, modeling, season_stats
-from wicketworks.session import scratch_path
+from wicketworks.session import materialize, scratch_path
 from wicketworks.sources.match_info import split_text
 
 _DELIVERIES = f"({P.DELIVERIES})"
@@ -361,8 +361,18 @@ _KEYS3 = f"""SELECT match_id FROM ({match_teams_sql()}) AS a INTERSECT SELECT ma
     INTERSECT SELECT match_id FROM ({match_players_sql()}) AS c"""
 
 
+def _merged(t):
+    """The merged layer as stored tables, as the batch leaves it: teams, balls, players."""
+    player_rows = merge.match_players(t.sql(P.ROSTER), materialize(_players(t), "player_stats"))
+    return [
+        materialize(_match_teams(t), "team_stats"),
+        materialize(_balls(t), "ball_by_ball"),
+        materialize(player_rows, "players_stats"),
+    ]
+
+
 def _common(t, **options):
-    return merge.common_matches(_match_teams(t), _balls(t), merge.match_players(t.sql(P.ROSTER), _players(t)), **options)
+    return merge.common_matches(*_merged(t), **options)
 
 
 @query("c12_common_team_rows", f"SELECT * FROM ({match_teams_sql()}) AS q WHERE match_id IN ({_KEYS3})")
@@ -398,9 +408,8 @@ def samples_sql(drop):
 
 
 def _samples(t, **options):
-    return modeling.match_samples(
-        _balls(t), _match_teams(t), merge.match_players(t.sql(P.ROSTER), _players(t)), **options
-    )
+    teams, balls, players = _merged(t)
+    return modeling.match_samples(balls, teams, players, **options)
 
 
 def _summary(df):

@@ -79,7 +79,8 @@ def _by_number(n: str, values: list[str]) -> str:
 
 
 def player_name(n: str) -> str:
-    return f"'Player ' || CAST({n} % 997 AS STRING)"
+    """Every hundredth player is a namesake, from the same country, of the one eight before."""
+    return f"'Player ' || CAST(CASE WHEN {n} % 100 = 8 THEN {n} - 8 ELSE {n} END AS STRING)"
 
 
 def player_code(n: str) -> str:
@@ -138,9 +139,10 @@ SELECT (CAST(day(ts) AS BIGINT) - 1) * 24 + hour(ts) AS epoch, count(*) % 37 + 1
 FROM {events} GROUP BY day(ts), hour(ts)"""
 
 
-# The roster of the info texts: 22 players of a match, 21 for every ninth customer.
+# The roster of the info texts: 22 of a hundred players with known codes, 21 for every ninth customer.
 INFO_ROSTER = f"""
 SELECT match_id, {player_country('n')} AS country, 'Player ' || CAST(n AS STRING) AS player,
        'id' || CAST(n AS STRING) AS player_id, season, i
-FROM (SELECT o_orderkey AS match_id, CAST(year(o_orderdate) AS STRING) AS season, i, (o_custkey * 22 + i) % 997 AS n
-      FROM {{orders}}, (SELECT unnest(range(1, 23)) AS i) AS numbers WHERE o_custkey % 9 > 0) AS listed"""
+FROM (SELECT match_id, season, i, CAST(floor(k / 6) AS BIGINT) * 8 + k % 6 AS n
+      FROM (SELECT o_orderkey AS match_id, CAST(year(o_orderdate) AS STRING) AS season, i, (o_custkey * 22 + i) % 100 AS k
+            FROM {{orders}}, (SELECT unnest(range(1, 23)) AS i) AS numbers WHERE o_custkey % 9 > 0) AS drawn) AS listed"""

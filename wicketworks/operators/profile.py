@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wicketworks.operators.joins import union_all
+
 _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 
@@ -21,8 +23,9 @@ def column_profile(
 ) -> DataFrame:
     """One row per column: type, count, missing, distinct, min, max, mean, stddev, quartiles.
 
-    One aggregation over the table. ``exact_distinct`` counts distinct values exactly, at the
-    cost of one expanded shuffle; the default is a mergeable sketch.
+    One aggregation over the table. Distinct values are sketched in it by default; with
+    ``exact_distinct`` they are counted by one distinct per column, each of which scans only
+    its own column and combines on the map side.
     """
     types = dict(df.dtypes)
     numeric = set(numeric_columns(df))
@@ -34,7 +37,7 @@ def column_profile(
         c = F.col(f"`{name}`")
         number = c.cast("double") if name in numeric else F.lit(None).cast("double")
         text = c.cast("string")
-        distinct = F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)
+        distinct = F.lit(None).cast("bigint") if exact_distinct else F.approx_count_distinct(c)
         if name in numeric:
             quartiles = [
                 F.percentile_approx(number, F.lit(q), accuracy).alias(n)
@@ -56,7 +59,16 @@ def column_profile(
         )
 
     summaries = df.agg(F.array(*[summary(c) for c in df.columns]).alias("_columns"))
-    return summaries.select(F.inline("_columns"))
+    profile = summaries.select(F.inline("_columns"))
+    if not exact_distinct:
+        return profile
+    counts = union_all(
+        [
+            df.select(F.col(f"`{c}`").alias("_v")).distinct().agg(F.lit(c).alias("column"), F.count("_v").alias("_d"))
+            for c in df.columns
+        ]
+    )
+    return profile.join(counts, "column").withColumn("n_distinct", F.col("_d")).drop("_d")
 
 
 def top_values(df: DataFrame, columns: Sequence[str], k: int = 5) -> DataFrame:
