@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wicketworks.functions.cleaning import null_or_nan
-from wicketworks.operators.skew import same_keys
+from wicketworks.operators.skew import join_keys
 from wicketworks.operators.windows import row_numbers
 
 # Rows per array. A match has a few hundred balls, so it is one chunk; larger groups
@@ -97,8 +97,8 @@ def drop_last_rows(
     """All rows except the last ``n`` of each key; exactly ``n``, even when rows tie on ``order``."""
     numbered = row_numbers(df, keys, order, "_pos", group_rows)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    placed = numbered.join(sizes, same_keys(numbered, sizes, keys))
-    return placed.where(F.col("_pos") <= F.col("_size") - n).select(*[numbered[c] for c in df.columns])
+    placed = join_keys(numbered, sizes, keys)
+    return placed.where(F.col("_pos") <= F.col("_size") - n).drop("_pos", "_size")
 
 
 def last_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wicketworks.session import materialize
@@ -20,9 +20,14 @@ from wicketworks.session import materialize
 GROUP_ROWS = 1_000_000
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality: windows and groupings treat null as one ordinary key."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on same-named keys in which null equals null, as in windows and groupings.
+
+    Keys are kept once, from the left; other names must differ. The sides may share a source.
+    """
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    pairs = [F.col(f"`{k}`").eqNullSafe(F.col(f"`_right_{k}`")) for k in keys]
+    return left.join(renamed, reduce(lambda a, b: a & b, pairs), how).drop(*[f"_right_{k}" for k in keys])
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], group_rows: int) -> DataFrame:
@@ -42,8 +47,7 @@ def split_hot(
     if hot.isEmpty():
         return df, None
     hot = materialize(hot, "hot-keys")
-    matched = same_keys(df, hot, keys)
-    return df.join(hot, matched, "left_anti"), df.join(hot, matched, "left_semi")
+    return join_keys(df, hot, keys, "left_anti"), join_keys(df, hot, keys, "left_semi")
 
 
 def union_parts(parts: Sequence[DataFrame | None]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wicketworks.operators.skew import same_keys, split_hot, union_parts
+from wicketworks.operators.skew import join_keys, split_hot, union_parts
 from wicketworks.session import materialize
 
 
@@ -100,11 +100,11 @@ def _blocked(df, keys, order, measures, inclusive) -> DataFrame:
             for m in measures
         ],
     )
-    joined = local.join(carried, same_keys(local, carried, [*keys, "_block"]), "left")
+    joined = join_keys(local, carried, [*keys, "_block"], "left")
     return joined.select(
-        *[local[c] for c in df.columns],
+        *[F.col(f"`{c}`") for c in df.columns],
         *[
-            _merge(m.kind, carried[f"_upto_{m.name}"], local[f"_in_{m.name}"]).alias(m.name)
+            _merge(m.kind, F.col(f"`_upto_{m.name}`"), F.col(f"`_in_{m.name}`")).alias(m.name)
             for m in measures
         ],
     )
@@ -126,8 +126,8 @@ def _range_by_points(df, keys, order, measures, group_rows) -> DataFrame:
         steps.append(Running("sum" if m.kind == "count" else m.kind, f"_at_{m.name}", m.name))
     points = df.groupBy(*keys, *order).agg(*aggs)
     upto = running(points, keys, order, steps, group_rows=group_rows)
-    rows = df.join(upto, same_keys(df, upto, [*keys, *order]))
-    return rows.select(*[df[c] for c in df.columns], *[upto[m.name] for m in measures])
+    upto = upto.select(*keys, *order, *[F.col(f"`{m.name}`") for m in measures])
+    return join_keys(df, upto, [*keys, *order])
 
 
 def running(
@@ -180,8 +180,7 @@ def attach_group(
 def join_group(df: DataFrame, keys: Sequence[str], aggregates: dict[str, Column]) -> DataFrame:
     """``attach_group`` by aggregation and join, whatever the group sizes."""
     totals = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggregates.items()])
-    joined = df.join(totals, same_keys(df, totals, keys))
-    return joined.select(*[df[c] for c in df.columns], *[totals[n] for n in aggregates])
+    return join_keys(df, totals, keys)
 
 
 def row_numbers(
