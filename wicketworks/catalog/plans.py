@@ -55,22 +55,28 @@ def _(t):
 
 
 _OPEN = f"({P.OPEN_MATCHES}) AS m"
+
+
+def _lines(t):
+    """Parsed info lines as a stored table, as the batch leaves them."""
+    return materialize(split_text(info_texts(t)), "match_info")
+
 _ACCEPTED = f"SELECT match_id, team1, team2, gender, season, winner FROM {_OPEN} WHERE winner IS NOT NULL"
 
 
 @query("c02_matches", _ACCEPTED)
 def _(t):
-    return match_files.matches_from_info(split_text(info_texts(t))).accepted
+    return match_files.matches_from_info(_lines(t)).accepted
 
 
 @query("c02_matches_rejected", f"SELECT match_id, 'winner' AS reject_reason FROM {_OPEN} WHERE winner IS NULL")
 def _(t):
-    return match_files.matches_from_info(split_text(info_texts(t))).rejected.select("match_id", "reject_reason")
+    return match_files.matches_from_info(_lines(t)).rejected.select("match_id", "reject_reason")
 
 
 @query("c03_match_players", f"SELECT country, player, player_id, season, match_id FROM ({P.INFO_ROSTER}) AS r")
 def _(t):
-    return match_files.rosters_from_info(split_text(info_texts(t))).match_players
+    return match_files.rosters_from_info(_lines(t)).match_players
 
 
 @query(
@@ -78,17 +84,17 @@ def _(t):
     f"SELECT country, player, player_id, min(season) AS season FROM ({P.INFO_ROSTER}) AS r GROUP BY country, player, player_id",
 )
 def _(t):
-    return match_files.rosters_from_info(split_text(info_texts(t))).players
+    return match_files.rosters_from_info(_lines(t)).players
 
 
 @query("c03_players_without_season", f"SELECT DISTINCT player, country, player_id FROM ({P.INFO_ROSTER}) AS r")
 def _(t):
-    return match_files.rosters_from_info(split_text(info_texts(t)), by_season=False).players
+    return match_files.rosters_from_info(_lines(t), by_season=False).players
 
 
 @query("c03_rosters_rejected", "SELECT o_orderkey AS match_id, 21 AS roster_size FROM {orders} WHERE o_custkey % 9 = 0")
 def _(t):
-    rejected = match_files.rosters_from_info(split_text(info_texts(t))).rejected
+    rejected = match_files.rosters_from_info(_lines(t)).rejected
     return rejected.select("match_id", F.col("roster_size").cast("int").alias("roster_size"))
 
 
@@ -353,7 +359,7 @@ def _(t):
         SELECT match_id FROM ({match_players_sql(P.INFO_ROSTER)}) AS k GROUP BY match_id HAVING count(*) = 22)""",
 )
 def _(t):
-    roster = match_files.rosters_from_info(split_text(info_texts(t))).match_players
+    roster = match_files.rosters_from_info(_lines(t)).match_players
     return merge.match_players(roster, _players(t), require_full_roster=True)
 
 
@@ -533,7 +539,7 @@ def _accepted():
 def _(t):
     seasons = t.sql(P.PLAYER_SEASONS)
     raw = batch.RawTables(
-        split_text(info_texts(t)), t.sql(P.DELIVERIES), seasons, seasons, seasons, t.sql(P.TEAM_SEASONS)
+        _lines(t), t.sql(P.DELIVERIES), seasons, seasons, seasons, t.sql(P.TEAM_SEASONS)
     )
     done = batch.process(raw, scratch_path(t.spark, "batch"))
     balls = done["ball_to_ball"].groupBy("match_id").agg(F.count(F.lit(1)).alias("n_balls"), F.sum("runs").alias("score"))

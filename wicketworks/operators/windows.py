@@ -9,13 +9,14 @@ forward, so no task ever holds a whole hot group and the result is the same.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wicketworks.operators.skew import join_keys, split_hot, union_parts
+from wicketworks.operators.skew import GROUP_ROWS, join_keys, split_hot, union_parts
 from wicketworks.session import materialize
 
 
@@ -57,18 +58,18 @@ def _merge(kind: str, carried: Column, local: Column) -> Column:
     return (F.greatest if kind == "max" else F.least)(carried, local)
 
 
-def _blocked(df, keys, order, measures, inclusive) -> DataFrame:
+def _blocked(df, keys, order, measures, inclusive, group_rows) -> DataFrame:
     """ROWS frame over hot groups: order the rows over tasks, then carry block totals.
 
     The row number within its input task breaks all ties, exact copies included. It and
     the block number are written out before use: both must stay fixed if a task is rerun.
+    There are as many blocks as keep each near the rows allowed for one task.
     """
     numbered = materialize(df.withColumn("_seq", F.monotonically_increasing_id()), "numbered")
     total_order = [*order, "_seq"]
-    ranged = materialize(
-        numbered.repartitionByRange(*keys, *total_order).withColumn("_block", F.spark_partition_id()),
-        "blocks",
-    )
+    n_blocks = ceil(numbered.count() / (group_rows or GROUP_ROWS)) + 1
+    ranges = numbered.repartitionByRange(n_blocks, *keys, *total_order)
+    ranged = materialize(ranges.withColumn("_block", F.spark_partition_id()), "blocks")
     inside = [m._replace(name=f"_in_{m.name}") for m in measures]
     local = _windowed(ranged, [*keys, "_block"], total_order, inside, "rows", inclusive)
 
@@ -83,7 +84,7 @@ def _blocked(df, keys, order, measures, inclusive) -> DataFrame:
     blocks = ranged.groupBy(*keys, "_block").agg(
         *[total[m.kind](m.column).alias(f"_upto_{m.name}") for m in measures]
     )
-    # One row per key and block: the window below sees at most as many rows as there are tasks.
+    # One row per key and block: the window below sees at most as many rows as there are blocks.
     before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     again = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
     carried = blocks.select(
@@ -151,7 +152,7 @@ def running(
         parts.append(
             _range_by_points(hot, keys, order, measures, group_rows)
             if frame == "range"
-            else _blocked(hot, keys, order, measures, inclusive)
+            else _blocked(hot, keys, order, measures, inclusive, group_rows)
         )
     return union_parts(parts)
 

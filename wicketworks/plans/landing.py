@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wicketworks.session import materialize
 from wicketworks.sources.archives import unpack_archives
 from wicketworks.sources.html_tables import before_first_empty_page, extract_tables, scraped_rows, table_columns
 from wicketworks.sources.tables import not_landed
@@ -30,13 +31,18 @@ def new_match_files(archives: DataFrame, landed: DataFrame | None = None) -> Dat
 
 def player_tables(pages: DataFrame) -> dict[str, DataFrame]:
     """Batting, bowling and fielding tables from (page, stat_type, html)."""
-    rows = scraped_rows(extract_tables(pages), PLAYER_TYPES)
+    rows = scraped_rows(_extracted(pages), PLAYER_TYPES)
     return {kind: _typed(rows, kind) for kind in PLAYER_TYPES}
 
 
 def team_table(pages: DataFrame) -> DataFrame:
     """The team table from (page, stat_type, html), up to the first page without data."""
-    return _typed(before_first_empty_page(extract_tables(pages)), "team")
+    return _typed(before_first_empty_page(_extracted(pages)), "team")
+
+
+def _extracted(pages: DataFrame) -> DataFrame:
+    """Rows of all pages, written once: the stopping rules read them again, the pages are not parsed twice."""
+    return materialize(extract_tables(pages), "page-rows")
 
 
 def _typed(rows: DataFrame, kind: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from wicketworks import schemas
 from wicketworks.functions.cleaning import null_to_zero_int, presence_flag
 from wicketworks.operators.aggregates import keep_first
 from wicketworks.operators.rows import quarantine, require_columns, require_rows
-from wicketworks.sources.match_info import wide_matches
+from wicketworks.sources.match_info import first_of, wide_matches
 
 # Columns of the narrow form of the cleaned deliveries.
 NARROW = [
@@ -65,23 +65,25 @@ def rosters_from_info(lines: DataFrame, by_season: bool = True) -> Rosters:
     pairs = named.groupBy("match_id", "player").agg(
         (F.count_if(F.col("attribute") == "player") * F.count_if(F.col("attribute") == "registry")).alias("_pairs")
     )
-    seasons = lines.groupBy("match_id").agg(
-        F.min_by("value", F.when(F.col("attribute") == "season", F.col("pos"))).alias("season")
+    sizes = pairs.groupBy("match_id").agg(F.sum("_pairs").alias("_size"))
+    seasons = first_of(lines, ["season"])
+    checked = (
+        lines.select("match_id").distinct()
+        .join(sizes, "match_id", "left")
+        .join(seasons, "match_id", "left")
+        .select("match_id", "season", F.coalesce("_size", F.lit(0)).alias("roster_size"))
     )
-    sizes = seasons.join(pairs.groupBy("match_id").agg(F.sum("_pairs").alias("_size")), "match_id", "left")
-    sizes = sizes.withColumn("roster_size", F.coalesce("_size", F.lit(0))).drop("_size")
-    accepted = sizes.where((F.col("roster_size") == ROSTER_SIZE) & F.col("season").isNotNull())
-    rejected = sizes.where((F.col("roster_size") != ROSTER_SIZE) | F.col("season").isNull())
-
-    wanted = named.join(accepted.select("match_id", "season"), "match_id")
-    listed = wanted.where(F.col("attribute") == "player").select(
-        F.col("value").alias("country"), "player", "season", "match_id"
-    )
-    registry = wanted.where(F.col("attribute") == "registry").select(
+    complete = (F.col("roster_size") == ROSTER_SIZE) & F.col("season").isNotNull()
+    accepted, rejected = checked.where(complete), checked.where(~complete)
+
+    listed = named.where(F.col("attribute") == "player").join(accepted, "match_id")
+    registry = named.where(F.col("attribute") == "registry").select(
         "match_id", "player", F.col("code").alias("player_id")
     )
-    match_players = listed.join(registry, ["match_id", "player"]).select(
-        "country", "player", "player_id", "season", "match_id"
+    match_players = (
+        listed.select("match_id", "player", F.col("value").alias("country"), "season")
+        .join(registry, ["match_id", "player"])
+        .select("country", "player", "player_id", "season", "match_id")
     )
     players = distinct_players(match_players, by_season)
     return Rosters(match_players, players, rejected)

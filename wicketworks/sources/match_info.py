@@ -8,15 +8,23 @@ from pyspark.sql import functions as F
 from wicketworks import schemas
 from wicketworks.sources.tables import file_key, only_files
 
+_FIELDS = [field.split()[0] for field in schemas.INFO_LINE.split(", ")]
+
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """(match_id, pos, line) to (match_id, pos, type, attribute, value, player, code).
 
-    Short lines are filled with nulls on the right; spaces after a comma are skipped.
+    Short lines are filled with nulls on the right; spaces after a comma are skipped. Only lines
+    with a quote need the CSV parser, all others are split at their commas.
     """
-    parsed = F.from_csv("line", schemas.INFO_LINE, {"ignoreLeadingWhiteSpace": "true"})
+    quoted = F.from_csv("line", schemas.INFO_LINE, {"ignoreLeadingWhiteSpace": "true"})
+    # An empty field is null, as in the CSV parser.
+    part = [F.nullif(F.ltrim(F.get("_parts", F.lit(i))), F.lit("")) for i in range(len(_FIELDS))]
+    plain = F.struct(*[p.alias(n) for p, n in zip(part, _FIELDS)])
+    parsed = F.when(F.contains("line", F.lit('"')), quoted).otherwise(plain)
     return (
         lines.where(F.trim("line") != "")
+        .select("match_id", "pos", "line", F.split("line", ",").alias("_parts"))
         .select("match_id", "pos", parsed.alias("_p"))
         .select("match_id", "pos", "_p.*")
     )
@@ -47,26 +55,29 @@ def split_text(files: DataFrame) -> DataFrame:
     return parse_lines(lines)
 
 
+def first_of(lines: DataFrame, attributes: list[str]) -> DataFrame:
+    """One row per match that has any of the attributes: the first value of each, as columns."""
+    chosen = lines.where(F.col("attribute").isin(attributes))
+    return chosen.groupBy("match_id").agg(
+        *[F.min_by("value", F.when(F.col("attribute") == a, F.col("pos"))).alias(a) for a in attributes]
+    )
+
+
 def wide_matches(lines: DataFrame) -> DataFrame:
     """One row per match with ``reject_reason``; null means accepted.
 
-    Pure aggregation with map-side combine. The two ``team`` lines become team1 and team2
-    in line order; for a repeated attribute the first line counts.
+    Pure aggregation with map-side combine over the few lines that matter. The two ``team``
+    lines become team1 and team2 in line order; for a repeated attribute the first line counts.
     """
-
-    def at(attribute: str, pick=F.min_by):
-        return pick("value", F.when(F.col("attribute") == attribute, F.col("pos")))
-
-    wide = lines.groupBy("match_id").agg(
-        at("team").alias("team1"),
-        at("team", F.max_by).alias("team2"),
-        at("gender").alias("gender"),
-        at("season").alias("season"),
-        at("winner").alias("winner"),
-        F.count_if(F.col("attribute") == "team").alias("_teams"),
+    teams = lines.where(F.col("attribute") == "team").groupBy("match_id").agg(
+        F.min_by("value", "pos").alias("team1"),
+        F.max_by("value", "pos").alias("team2"),
+        F.count(F.lit(1)).alias("_teams"),
     )
+    rest = first_of(lines, ["gender", "season", "winner"])
+    wide = lines.select("match_id").distinct().join(teams, "match_id", "left").join(rest, "match_id", "left")
     reason = (
-        F.when(F.col("_teams") != 2, F.lit("teams"))
+        F.when(F.coalesce("_teams", F.lit(0)) != 2, F.lit("teams"))
         .when(F.col("gender").isNull(), F.lit("gender"))
         .when(F.col("season").isNull(), F.lit("season"))
         .when(F.col("winner").isNull(), F.lit("winner"))
