@@ -165,16 +165,16 @@ FIELD_SQL = cumulative_sql(
 )
 
 
-def _bat(t, **options):
-    return season_stats.batting(t.sql(P.PLAYER_SEASONS), **options)
+def _seasons(t):
+    return t.sql(P.PLAYER_SEASONS)
 
 
-def _bowl(t, **options):
-    return season_stats.bowling(t.sql(P.PLAYER_SEASONS), **options)
+def _bat(t, **options):
+    return season_stats.batting(_seasons(t), **options)
 
 
-def _field(t):
-    return season_stats.fielding(t.sql(P.PLAYER_SEASONS))
+def _bowl(t, **options):
+    return season_stats.bowling(_seasons(t), **options)
 
 
 @query("c04_batting", BAT_SQL)
@@ -210,7 +210,7 @@ def _(t):
 
 @query("c06_fielding", FIELD_SQL)
 def _(t):
-    return _field(t)
+    return season_stats.fielding(_seasons(t))
 
 
 def teams_sql(no_result=False):
@@ -254,7 +254,10 @@ def combined_sql(maidens=False):
 
 
 def _players(t):
-    return season_stats.combine_players(_bat(t), _bowl(t), _field(t))
+    raw = _seasons(t)
+    return season_stats.combine_players(
+        season_stats.batting(raw), season_stats.bowling(raw), season_stats.fielding(raw)
+    )
 
 
 @query("c08_player_stats", combined_sql())
@@ -269,7 +272,9 @@ def _(t):
         ON p."Player" = r.player AND p."Country" = r.country AND p."Season" = r.season""",
 )
 def _(t):
-    return season_stats.combine_rostered(_bat(t), _bowl(t, maidens=True), _field(t), t.sql(P.ROSTER))
+    raw = _seasons(t)
+    bowl = season_stats.bowling(raw, maidens=True)
+    return season_stats.combine_rostered(season_stats.batting(raw), bowl, season_stats.fielding(raw), t.sql(P.ROSTER))
 
 
 def balls_sql(matches=_MATCHES, run_columns=merge.ALL_RUN_COLUMNS, label="batting", bonus=0):
@@ -369,7 +374,7 @@ _KEYS3 = f"""SELECT match_id FROM ({match_teams_sql()}) AS a INTERSECT SELECT ma
 
 def _merged(t):
     """The merged layer as stored tables, as the batch leaves it: teams, balls, players."""
-    player_rows = merge.match_players(t.sql(P.ROSTER), materialize(_players(t), "player_stats"))
+    player_rows = merge.match_players(t.sql(P.ROSTER), _players(t))
     return [
         materialize(_match_teams(t), "team_stats"),
         materialize(_balls(t), "ball_by_ball"),
@@ -378,7 +383,8 @@ def _merged(t):
 
 
 def _common(t, **options):
-    return merge.common_matches(*_merged(t), **options)
+    player_rows = merge.match_players(t.sql(P.ROSTER), _players(t))
+    return merge.common_matches(_match_teams(t), _balls(t), player_rows, **options)
 
 
 @query("c12_common_team_rows", f"SELECT * FROM ({match_teams_sql()}) AS q WHERE match_id IN ({_KEYS3})")
@@ -537,7 +543,7 @@ def _accepted():
         JOIN ({match_teams_sql(_accepted())}) AS t USING (match_id)""",
 )
 def _(t):
-    seasons = t.sql(P.PLAYER_SEASONS)
+    seasons = _seasons(t)
     raw = batch.RawTables(
         _lines(t), t.sql(P.DELIVERIES), seasons, seasons, seasons, t.sql(P.TEAM_SEASONS)
     )
