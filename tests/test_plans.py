@@ -1,6 +1,7 @@
 """Match semantics on small tables worked out by hand, with every quirk as its own case."""
 
 import io
+import uuid
 import zipfile
 
 import pytest
@@ -290,8 +291,10 @@ def test_whole_batch_from_files(spark, raw_base):
 
 def test_stream_lands_each_file_once(spark, raw_base, tmp_path):
     source, landed = f"{raw_base}/1_rawData/t20s_csv2", str(tmp_path / "landed")
+    # The stream's log outlives a test run, so each run needs a name of its own.
+    name = uuid.uuid4().hex
     for _ in range(2):
-        land_new_deliveries(spark, source, landed, tmp_path.name).awaitTermination()
+        land_new_deliveries(spark, source, landed, name).awaitTermination()
         assert spark.read.parquet(landed).count() == 30
 
 
