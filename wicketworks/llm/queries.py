@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wicketworks.llm.mixing import mix
 from wicketworks.llm.packing import pack
 from wicketworks.llm.registry import ORACLES, QUERIES, query, table, tokenizer
+from wicketworks.llm.sharding import shard_by_bytes
 from wicketworks.llm.simhash import hex_fingerprint, near_duplicates
 from wicketworks.llm.token_counts import count_tokens
+from wicketworks.llm.topk import top_k
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -23,7 +26,72 @@ def _(spark, directory):
     return groups.withColumn("fingerprint", hex_fingerprint(F.col("fingerprint")))
 
 
+MIXING_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         ('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS h
+  FROM documents
+), sums AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         CASE (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+  FROM sized GROUP BY source
+), levels AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()::DOUBLE - 2.0::DOUBLE * coalesce(sum(source_size) OVER (
+             ORDER BY source_size / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+           / sum(weight) OVER (ORDER BY source_size / weight, source IS NULL, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sums
+), targets AS (
+  SELECT source, source_size, target,
+         CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS passes,
+         target - CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END * source_size AS rest
+  FROM (SELECT source, source_size, least(2.0::DOUBLE * source_size, weight * max(level) OVER ()) AS target FROM levels)
+), running AS (
+  SELECT d.doc_id, d.size, t.*, sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS upto
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), gaps AS (
+  SELECT source, any_value(rest) - coalesce(max(upto) FILTER (upto <= rest), 0) AS gap FROM running GROUP BY source
+), closing AS (
+  SELECT r.source, arg_min(r.upto, (abs(r.size - g.gap), r.upto)) AS closing
+  FROM running r JOIN gaps g ON r.source IS NOT DISTINCT FROM g.source
+  WHERE r.upto > r.rest AND r.size > 0 AND abs(r.size - g.gap) < g.gap GROUP BY r.source
+)
+SELECT r.doc_id, r.size, r.source_size, r.target,
+       (r.size * (r.passes + CASE WHEN (r.upto <= r.rest AND r.rest > 0) OR r.upto = c.closing THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM running r LEFT JOIN closing c ON r.source IS NOT DISTINCT FROM c.source
+"""
+
+
+@query("op6_mixing", MIXING_SQL)
+def _(spark, directory):
+    mixed = mix(table(spark, directory, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"))
+
+
+@query("op8_histogram_shards")
+def _(spark, directory):
+    placed = shard_by_bytes(table(spark, directory, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query("op10_token_counts")
 def _(spark, directory):
     counted = count_tokens(table(spark, directory, "documents"), tokenizer("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query(
+    "op9_block_pruned_top_k",
+    """
+WITH clean AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v::DOUBLE[], d.v::DOUBLE[])::BIGINT AS score
+  FROM clean q JOIN clean d ON q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+""",
+)
+def _(spark, directory):
+    return top_k(table(spark, directory, "embeddings"))
