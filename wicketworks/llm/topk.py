@@ -94,7 +94,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
 
 
-_MISSING = np.iinfo(np.int64).min
+_MISSING = -(2**63 - 1)  # its negative exists
 
 
 class _Best:
