@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wicketworks.llm.grid_join import near_vectors
 from wicketworks.llm.mixing import mix
 from wicketworks.llm.packing import pack
 from wicketworks.llm.registry import ORACLES, QUERIES, query, table, tokenizer
@@ -95,3 +96,27 @@ FROM scored QUALIFY rank <= 20
 )
 def _(spark, directory):
     return top_k(table(spark, directory, "embeddings"))
+
+
+@query(
+    "op7_grid_order_join",
+    """
+WITH RECURSIVE clean AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM clean a JOIN clean b
+  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+  SELECT vec_id, vec_id AS root FROM embeddings
+  UNION
+  SELECT l.b, r.root FROM reach r JOIN links l ON r.vec_id = l.a
+), least AS (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN counts ON vec_id = a
+""",
+)
+def _(spark, directory):
+    return near_vectors(table(spark, directory, "embeddings"))
