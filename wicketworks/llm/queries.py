@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wicketworks.llm.grid_join import near_vectors
+from wicketworks.llm.language import identify_languages
 from wicketworks.llm.mixing import mix
 from wicketworks.llm.packing import pack
 from wicketworks.llm.registry import ORACLES, QUERIES, query, table, tokenizer
@@ -16,6 +17,11 @@ from wicketworks.llm.topk import top_k
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op1_crf_language")
+def _(spark, directory):
+    return identify_languages(table(spark, directory, "documents"))
+
+
 @query("op2_best_fit_packing")
 def _(spark, directory):
     return pack(table(spark, directory, "documents"), tokenizer("word_bpe_49k.json"))
