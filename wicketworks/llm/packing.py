@@ -161,7 +161,8 @@ def pack(
     with the function that looks places up.
     """
     made = pieces_of(F.col(f"`{text}`"), tokenizer_path, capacity, keep_ids=keep_ids)
-    cut = docs.select(F.col(f"`{doc_id}`").alias("_key"), made.alias("_pieces")).select("_key", F.inline("_pieces"))
+    # Every document has a piece. The outer form says so; the plain one would evaluate the pieces once more to filter.
+    cut = docs.select(F.col(f"`{doc_id}`").alias("_key"), made.alias("_pieces")).select("_key", F.inline_outer("_pieces"))
     pieces = materialize(cut, "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     steps, _ = plan_best_fit(counts, capacity)

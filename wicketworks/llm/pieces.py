@@ -13,7 +13,7 @@ import re
 from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
+from operator import attrgetter
 
 # Entries of a worker's memo, and the longest piece kept there: at most some 150 MB.
 MEMO_PIECES = 600_000
@@ -71,16 +71,15 @@ class PieceEncoder:
     def _learn(self, pieces: list[str]) -> None:
         """Encode the pieces; closing punctuation behind a letter is a token run of its own."""
         cores = [p.rstrip(_CLOSING) for p in pieces]
-        parted = [(c, p[len(c) :]) if len(c) < len(p) and c and c[-1].isalpha() else (p,) for p, c in zip(pieces, cores)]
-        parts = list(dict.fromkeys(chain.from_iterable(parted)))
-        fresh = [x for x in parts if self.memo.get(x) is None]
-        encoded = self.library.encode_batch_fast(fresh, add_special_tokens=False)
-        known = dict(zip(fresh, (self.value(e.ids) for e in encoded)))
+        heads = [c if len(c) < len(p) and c and c[-1].isalpha() else p for p, c in zip(pieces, cores)]
         memo = self.memo
-        memo.update(known)
-        for piece, of in zip(pieces, parted):
-            if len(of) == 2:
-                memo[piece] = memo[of[0]] + memo[of[1]]
+        tails = {p[len(h) :] for p, h in zip(pieces, heads) if h is not p}
+        fresh = [x for x in {*heads, *tails} if memo.get(x) is None]
+        encoded = self.library.encode_batch_fast(fresh, add_special_tokens=False)
+        memo.update(zip(fresh, map(self.value, map(attrgetter("ids"), encoded))))
+        for piece, head in zip(pieces, heads):
+            if head is not piece:
+                memo[piece] = memo[head] + memo[piece[len(head) :]]
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[list]:
         """For each text the values of its pieces, in order; values of parts must add up."""
@@ -120,13 +119,12 @@ def batches_by_bytes(texts: Sequence[str | None], most: int) -> Iterator[list[st
 def encoder(path: str, kind: str) -> PieceEncoder:
     """The worker's encoder: ``count`` keeps numbers of ids, ``words`` and ``spaced`` little-endian ids."""
     import os
-
-    import numpy as np
+    from array import array
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
 
     def packed(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        return array("I", ids).tobytes()  # little-endian where Spark runs
 
     if kind == "count":
         return PieceEncoder(path, spaced_pieces, len)
