@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wicketworks.llm.grid_join import near_vectors
 from wicketworks.llm.language import identify_languages
+from wicketworks.llm.line_dedup import dedup_lines
 from wicketworks.llm.mixing import mix
 from wicketworks.llm.packing import pack
 from wicketworks.llm.registry import ORACLES, QUERIES, query, table, tokenizer
@@ -27,6 +28,12 @@ def _(spark, directory):
     return pack(table(spark, directory, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+@query("op3_line_dedup")
+def _(spark, directory):
+    kept = dedup_lines(table(spark, directory, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.octet_length("text").cast("long").alias("n_bytes"), F.crc32("text").alias("text_crc32"))
+
+
 @query("op5_simhash_near_duplicates")
 def _(spark, directory):
     groups = near_duplicates(table(spark, directory, "documents"))
