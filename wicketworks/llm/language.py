@@ -25,6 +25,8 @@ BUCKETS = 1 << 15
 LEXICON_WORDS = 20_000
 LEXICON_COUNT = 4
 MOST_LANGUAGES = 512
+# A document whose best language has less than this share of its words has no main language.
+LEAST_SCORE = 0.34
 MEMO_WORDS = 300_000
 MEMO_CHARS = 64
 CHAIN = 64  # words per block of the forward-backward scan
@@ -362,3 +364,14 @@ def identify_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     model = fit(training_stretches(docs.where(key.isNotNull() & ~held_out(key)), lang, key, text), seed)
     labelled = docs.select(key.alias("_id"), held_out(key).alias("held_out"), label_documents(F.col(f"`{text}`"), model).alias("_l"))
     return labelled.select(F.col("_id").alias(doc_id), "held_out", "_l.*")
+
+
+def keep_identified(
+    docs: DataFrame, least_score: float = LEAST_SCORE, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", seed: int = 0
+) -> DataFrame:
+    """The documents that have a language: those without a letter and those without a main language go."""
+    key = F.col(f"`{doc_id}`")
+    model = fit(training_stretches(docs.where(key.isNotNull() & ~held_out(key)), lang, key, text), seed)
+    labelled = docs.withColumn("_label", label_documents(F.col(f"`{text}`"), model))
+    found = (F.col("_label.lang_pred") != UNKNOWN) & (F.col("_label.score") >= least_score)
+    return labelled.where(found).select(*[F.col(f"`{c}`") for c in docs.columns])

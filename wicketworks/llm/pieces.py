@@ -117,7 +117,7 @@ def batches_by_bytes(texts: Sequence[str | None], most: int) -> Iterator[list[st
 
 @lru_cache(maxsize=4)
 def encoder(path: str, kind: str) -> PieceEncoder:
-    """The worker's encoder: ``count`` keeps numbers of ids, ``words`` and ``spaced`` little-endian ids."""
+    """The worker's encoder: ``count`` keeps numbers of ids, ``words`` and ``spaced`` 32-bit ids, ``short`` 16-bit ids."""
     import os
     from array import array
 
@@ -128,4 +128,6 @@ def encoder(path: str, kind: str) -> PieceEncoder:
 
     if kind == "count":
         return PieceEncoder(path, spaced_pieces, len)
+    if kind == "short":
+        return PieceEncoder(path, spaced_pieces, lambda ids: array("H", ids).tobytes())
     return PieceEncoder(path, bare_pieces if kind == "words" else spaced_pieces, packed)

@@ -14,6 +14,7 @@ from wicketworks.llm.sharding import shard_by_bytes
 from wicketworks.llm.simhash import hex_fingerprint, near_duplicates
 from wicketworks.llm.token_counts import count_tokens
 from wicketworks.llm.topk import top_k
+from wicketworks.llm.training_order import write_training_order
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -34,6 +35,11 @@ def _(spark, directory):
     return kept.select("doc_id", "n_lines", "n_removed", F.octet_length("text").cast("long").alias("n_bytes"), F.crc32("text").alias("text_crc32"))
 
 
+@query("op4_training_order")
+def _(spark, directory):
+    return write_training_order(table(spark, directory, "documents"), tokenizer("byte_bpe_50k.json"))[0]
+
+
 @query("op5_simhash_near_duplicates")
 def _(spark, directory):
     groups = near_duplicates(table(spark, directory, "documents"))
