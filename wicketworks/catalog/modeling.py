@@ -9,8 +9,8 @@ from wicketworks.catalog.registry import query, rounded
 from wicketworks.catalog.relations import hash_sql
 from wicketworks.catalog.sources import split_sql
 from wicketworks.operators import metrics, modeling, profile, samples
-from wicketworks.operators.aggregates import sequences
-from wicketworks.session import materialize
+from wicketworks.operators.aggregates import CHUNK_ROWS, sequences
+from wicketworks.session import scratch_path
 
 _SEQ = f"({P.SEQUENCES}) AS s"
 _POS = f"""SELECT conv_id, turn, n_chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos,
@@ -21,7 +21,7 @@ def _sum_of(array, i):
     return F.aggregate(array, F.lit(0.0), lambda acc, row: acc + row[i]).cast("bigint")
 
 
-def _conversation_samples(t, drop_last=1):
+def _conversation_samples(t, drop_last=1, chunk_rows=CHUNK_ROWS):
     """Conversations as balls, documents as teams, benchmark-shaped players: all keyed by conv_id."""
     turns = t.sql(P.SEQUENCES).withColumn("won", (F.col("role") == "user").cast("int"))
     teams = t.documents.select(
@@ -30,7 +30,7 @@ def _conversation_samples(t, drop_last=1):
     players = t.lineitem.select(F.col("l_orderkey").alias("conv_id"), "l_linenumber", "l_quantity")
     return samples.build_samples(
         turns, teams, players, "conv_id", ["turn"], ["turn", "n_chars"], ["n_chars", "lang_length"],
-        ["l_linenumber", "l_quantity"], ["l_linenumber", "l_quantity"], "won", drop_last,
+        ["l_linenumber", "l_quantity"], ["l_linenumber", "l_quantity"], "won", drop_last, chunk_rows,
     )
 
 
@@ -54,6 +54,41 @@ def _(t):
     )
 
 
+_SAMPLE_CONTENTS = f"""WITH k AS (SELECT DISTINCT c.conv_id FROM {{conversations}} AS c
+          WHERE c.conv_id IN (SELECT doc_id FROM {{documents}}) AND c.conv_id IN (SELECT l_orderkey FROM {{lineitem}}))
+        SELECT p.conv_id, 'ball' AS part, CAST(pos - 1 AS INTEGER) AS position, CAST(turn AS DOUBLE) AS first,
+               CAST(n_chars AS DOUBLE) AS second
+        FROM ({_POS}) AS p JOIN k ON k.conv_id = p.conv_id WHERE pos < total
+        UNION ALL
+        SELECT l_orderkey, 'player', CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) - 1 AS INTEGER),
+               CAST(l_linenumber AS DOUBLE), CAST(l_quantity AS DOUBLE) FROM {{lineitem}} JOIN k ON k.conv_id = l_orderkey
+        UNION ALL
+        SELECT doc_id, 'team', 0, CAST(n_chars AS DOUBLE), CAST(length(lang) AS DOUBLE) FROM {{documents}} JOIN k ON k.conv_id = doc_id"""
+
+
+def _sample_contents(t, chunk_rows=CHUNK_ROWS):
+    done = _conversation_samples(t, chunk_rows=chunk_rows)
+    names = ["first", "second"]
+    parts = [
+        samples.explode_rows(done, ["conv_id"], array, names).withColumn("part", F.lit(part))
+        for array, part in (("balls", "ball"), ("players", "player"))
+    ]
+    team = done.where("chunk = 0").select(
+        "conv_id", F.lit(0).alias("position"), *[F.col("team")[i].alias(n) for i, n in enumerate(names)], F.lit("team").alias("part")
+    )
+    return parts[0].unionByName(parts[1]).unionByName(team)
+
+
+@query("m01_sample_contents", _SAMPLE_CONTENTS)
+def _(t):
+    return _sample_contents(t)
+
+
+@query("m01_sample_contents_in_small_chunks", _SAMPLE_CONTENTS)
+def _(t):
+    return _sample_contents(t, chunk_rows=2)
+
+
 @query("m02_hash_split", f"SELECT o_orderkey, {split_sql('o_orderkey')} AS split FROM {{orders}}")
 def _(t):
     return t.orders.select("o_orderkey", samples.split_of("o_orderkey").alias("split"))
@@ -76,7 +111,7 @@ _WINDOWS = [1, 2, 3]
 def _augmented(t):
     seq = sequences(t.sql(P.SEQUENCES), ["conv_id"], ["turn"], ["turn", "n_chars"])
     whole = seq.select(
-        "conv_id", "chunk", F.col("rows").alias("balls"), F.array().cast("array<array<double>>").alias("players"),
+        "conv_id", "chunk", "start", F.col("rows").alias("balls"), F.array().cast("array<array<double>>").alias("players"),
         F.size("rows").cast("bigint").alias("n_balls"), samples.split_of("conv_id").alias("split"),
     )
     return samples.augment(whole, _WINDOWS, unit=2)
@@ -102,44 +137,64 @@ def _(t):
     return counted.agg(F.count_if(F.col("chunk") == 0).alias("n_samples"), F.sum(F.size("balls")).alias("n_balls"))
 
 
-@query(
-    "m05_padded_batches",
-    f"""SELECT conv_id, split, batch_id, n_balls, max(n_balls) OVER (PARTITION BY split, batch_id) AS padded_length, chars
+_PADDED = f"""SELECT conv_id, split, batch_id, n_balls, max(n_balls) OVER (PARTITION BY split, batch_id) AS padded_length, chars
         FROM (SELECT conv_id, split, CAST(floor((row_number() OVER (PARTITION BY split ORDER BY conv_id) - 1) / 4) AS BIGINT) AS batch_id,
                      n_balls, chars
               FROM (SELECT conv_id, {split_sql('conv_id')} AS split, count(*) AS n_balls,
-                           CAST(sum(n_chars) AS BIGINT) AS chars FROM {_SEQ} GROUP BY conv_id) AS g) AS b""",
-)
-def _(t):
-    seq = sequences(t.sql(P.SEQUENCES), ["conv_id"], ["turn"], ["turn", "n_chars"])
-    named = seq.select("conv_id", "chunk", F.col("rows").alias("balls"), samples.split_of("conv_id").alias("split"))
-    batched = samples.assign_batches(named.withColumn("n_balls", F.size("balls").cast("bigint")), ["conv_id"], 4)
-    padded = samples.pad_batches(batched, "balls", 2)
-    return padded.select(
-        "conv_id", "split", "batch_id", "n_balls", F.size("balls").cast("bigint").alias("padded_length"),
-        _sum_of("balls", 1).alias("chars"),
+                           CAST(sum(n_chars) AS BIGINT) AS chars FROM {_SEQ} GROUP BY conv_id) AS g) AS b"""
+
+
+def _padded(t, chunk_rows=CHUNK_ROWS):
+    seq = sequences(t.sql(P.SEQUENCES), ["conv_id"], ["turn"], ["turn", "n_chars"], chunk_rows)
+    named = seq.select("conv_id", "chunk", "start", F.col("rows").alias("balls"), samples.split_of("conv_id").alias("split"))
+    batched = samples.assign_batches(named, ["conv_id"], 4)
+    own = batched.groupBy("conv_id").agg(F.sum(F.size("balls")).alias("n_balls"))
+    padded = samples.pad_batches(batched, "balls", 2, ["conv_id"]).groupBy("conv_id", "split", "batch_id").agg(
+        F.sum(F.size("balls")).alias("padded_length"), F.sum(_sum_of("balls", 1)).alias("chars")
     )
+    return padded.join(own, "conv_id")
 
 
-@query(
-    "m06_input_shapes",
-    """SELECT 2 AS team_width, CAST(max(n) AS INTEGER) AS player_rows, 2 AS player_columns, 2 AS ball_columns
+@query("m05_padded_batches", _PADDED)
+def _(t):
+    return _padded(t)
+
+
+@query("m05_padded_batches_in_small_chunks", _PADDED)
+def _(t):
+    return _padded(t, chunk_rows=2)
+
+
+_SHAPES = """SELECT 2 AS team_width, CAST(max(n) AS INTEGER) AS player_rows, 2 AS player_columns, 2 AS ball_columns
        FROM (SELECT count(*) AS n FROM {lineitem} WHERE l_orderkey IN (SELECT conv_id FROM {conversations})
-             AND l_orderkey IN (SELECT doc_id FROM {documents}) GROUP BY l_orderkey) AS x""",
-)
+             AND l_orderkey IN (SELECT doc_id FROM {documents}) GROUP BY l_orderkey) AS x"""
+
+
+@query("m06_input_shapes", _SHAPES)
 def _(t):
-    return samples.input_shapes(_conversation_samples(t))
+    return samples.input_shapes(_conversation_samples(t), ["conv_id"])
 
 
-@query(
-    "m07_explode_to_rows",
-    f"SELECT conv_id, CAST(pos - 1 AS INTEGER) AS position, CAST(turn AS DOUBLE) AS turn, CAST(n_chars AS DOUBLE) AS n_chars FROM ({_POS}) AS p",
-)
+@query("m06_input_shapes_in_small_chunks", _SHAPES)
+def _(t):
+    return samples.input_shapes(_conversation_samples(t, chunk_rows=2), ["conv_id"])
+
+
+_EXPLODED = f"SELECT conv_id, CAST(pos - 1 AS INTEGER) AS position, CAST(turn AS DOUBLE) AS turn, CAST(n_chars AS DOUBLE) AS n_chars FROM ({_POS}) AS p"
+
+
+@query("m07_explode_to_rows", _EXPLODED)
 def _(t):
     seq = sequences(t.sql(P.SEQUENCES), ["conv_id"], ["turn"], ["turn", "n_chars"])
     return samples.explode_rows(seq, ["conv_id"], "rows", ["turn", "n_chars"])
 
 
+@query("m07_explode_small_chunks_to_rows", _EXPLODED)
+def _(t):
+    seq = sequences(t.sql(P.SEQUENCES), ["conv_id"], ["turn"], ["turn", "n_chars"], chunk_rows=2)
+    return samples.explode_rows(seq, ["conv_id"], "rows", ["turn", "n_chars"])
+
+
 def _scored(t):
     return metrics.predict(t.sql(P.SCORED))
 
@@ -321,57 +376,61 @@ def _(t):
     return metrics.early_stop(t.sql(P.HISTORY))
 
 
-def _features(t):
-    """Per order: label is a large order, features are numbers of its lines; written once for fitting."""
-    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.count(F.lit(1)).cast("double").alias("n_lines"), F.sum("l_quantity").alias("quantity"),
-        F.avg("l_discount").alias("discount"), F.avg("l_tax").alias("tax"),
-    )
-    labelled = t.orders.select(
-        "o_orderkey", (F.col("o_totalprice") > 250000).cast("int").alias("label"),
-        (F.col("o_totalprice") / 1000 + F.col("o_custkey") % 100).alias("price"),
-        samples.split_of("o_orderkey").alias("split"),
+# One-hot groups of orders: an unpenalised fit predicts exactly the mean label of each group.
+GROUPS = 5
+
+
+def grouped_orders(t, groups=GROUPS):
+    """Orders with their label, split and group, and a 0/1 column for every group but the first."""
+    group = F.col("o_custkey") % groups
+    features = {f"g{i}": (group == i).cast("double") for i in range(1, groups)}
+    chosen = t.orders.select(
+        "o_orderkey", (F.col("o_totalprice") > 150000).cast("int").alias("label"), samples.split_of("o_orderkey").alias("split"),
+        *[c.alias(n) for n, c in features.items()],
     )
-    return materialize(labelled.join(lines, "o_orderkey"), "features")
+    return chosen, list(features)
 
 
-_FEATURES = ["n_lines", "quantity", "discount", "tax", "price"]
+def fit_groups(data, features):
+    train = modeling.weighted(data.where("split = 'train'"), features)
+    return modeling.baseline_classifier(features, weightCol="weight", tol=1e-12, maxIter=500).fit(train)
 
 
-@query("e12_baseline_classifier")
-def _(t):
-    data = _features(t)
-    model = modeling.baseline_classifier(_FEATURES, maxIter=20).fit(data.where("split = 'train'"))
-    scored = modeling.score(model, data.where("split = 'test'"), ["o_orderkey", "label"])
-    return metrics.binary_scores(metrics.predict(scored))
+def grouped_sql(groups=GROUPS):
+    return f"""SELECT o_orderkey, o_custkey % {groups} AS g, CASE WHEN o_totalprice > 150000 THEN 1 ELSE 0 END AS label,
+        {split_sql('o_orderkey')} AS split FROM {{orders}}"""
 
 
-@query("e13_parameter_search")
-def _(t):
-    found = modeling.parameter_search(_features(t).where("split = 'train'"), _FEATURES, trials=3)
-    losses = t.spark.createDataFrame(modeling.trial_losses(found), "trial INT, val_loss DOUBLE")
-    return losses.orderBy("val_loss").limit(1)
+_GROUP_MEANS = f"""WITH o AS ({grouped_sql()}), m AS (SELECT g, avg(label) AS p FROM o WHERE split = 'train' GROUP BY g)"""
 
 
-@query("e14_batch_scoring")
+@query("e12_baseline_classifier", f"{_GROUP_MEANS} SELECT o_orderkey, label, round(p, 4) AS probability FROM o JOIN m ON o.g = m.g WHERE split = 'test'")
 def _(t):
-    data = _features(t)
-    model = modeling.baseline_classifier(_FEATURES, maxIter=20).fit(data.where("split = 'train'"))
-    return modeling.score(model, data, ["o_orderkey", "split", "label"])
+    data, features = grouped_orders(t)
+    scored = modeling.score(fit_groups(data, features), data.where("split = 'test'"), ["o_orderkey", "label"])
+    return scored.withColumn("probability", F.round("probability", 4))
 
 
 @query(
-    "e14_partition_scoring",
-    """SELECT o_orderkey, round(1 / (1 + exp(-(o_totalprice / 100000 - 2.5))), 6) AS probability FROM {orders}""",
+    "e13_parameter_search",
+    f"""{_GROUP_MEANS} SELECT CAST(50 AS BIGINT) AS n_trials,
+        round(avg(-(label * ln(p) + (1 - label) * ln(1 - p))), 5) AS unpenalised_loss FROM o JOIN m ON o.g = m.g WHERE split = 'val'""",
 )
 def _(t):
-    def load():
-        import numpy as np
+    data, features = grouped_orders(t)
+    trials = modeling.parameter_search(data, features)
+    table = t.spark.createDataFrame([(x.trial, x.params["regParam"], x.val_loss) for x in trials], "trial INT, penalty DOUBLE, val_loss DOUBLE")
+    return table.agg(
+        F.count("val_loss").alias("n_trials"), F.round(F.max(F.when(F.col("penalty") == 0, F.col("val_loss"))), 5).alias("unpenalised_loss")
+    )
 
-        return lambda batch: 1 / (1 + np.exp(-(batch["o_totalprice"] / 100000 - 2.5)))
 
-    scored = modeling.score_partitions(t.orders, load, ["o_orderkey", "o_totalprice"])
-    return scored.select("o_orderkey", F.round("probability", 6).alias("probability"))
+@query("e14_batch_scoring", f"{_GROUP_MEANS} SELECT o_orderkey, split, label, round(p, 4) AS probability FROM o JOIN m ON o.g = m.g")
+def _(t):
+    data, features = grouped_orders(t)
+    path = modeling.save_model(fit_groups(data, features), scratch_path(t.spark, "model"))
+    scored = modeling.score(modeling.load_model(path), data, ["o_orderkey", "split", "label"])
+    return scored.withColumn("probability", F.round("probability", 4))
 
 
 def _profile_sql(table, columns):
@@ -400,13 +459,14 @@ def _profile_sql(table, columns):
     "e15_column_profile",
     _profile_sql(
         "{lineitem}",
-        [("l_linenumber", "int", True), ("l_quantity", "double", True), ("l_discount", "double", True),
-         ("l_tax", "double", True), ("l_returnflag", "string", False)],
+        [("l_orderkey", "bigint", True), ("l_partkey", "bigint", True), ("l_suppkey", "bigint", True), ("l_linenumber", "int", True),
+         ("l_quantity", "double", True), ("l_extendedprice", "double", True), ("l_discount", "double", True), ("l_tax", "double", True),
+         ("l_returnflag", "string", False), ("l_linestatus", "string", False), ("l_shipdate", "timestamp_ntz", False)],
     ),
 )
 def _(t):
-    chosen = t.lineitem.select("l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag")
-    return profile.column_profile(chosen, exact_distinct=True, digits=4)
+    # More steps than rows, so that the quartiles are exact and can be compared.
+    return profile.column_profile(t.lineitem, exact_distinct=True, accuracy=5_000_000, digits=4)
 
 
 @query(

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wicketworks.catalog import proxies as P
-from wicketworks.catalog.modeling import _COUNTS, _SCORES, _round8, _staged_sql
+from wicketworks.catalog.modeling import _COUNTS, _SCORES, _round8, _staged_sql, fit_groups, grouped_orders, grouped_sql
 from wicketworks.catalog.registry import query, rounded
 from wicketworks.catalog.sources import customer_archives, info_texts, split_sql
 from wicketworks.operators import metrics, samples
+from wicketworks.operators.modeling import load_model, save_model, score
 from wicketworks.plans import batch, landing, match_files, merge, modeling, season_stats
 from wicketworks.session import materialize, scratch_path
 from wicketworks.sources.match_info import split_text
@@ -467,30 +468,67 @@ def _widths():
     return {"team_width": 13, "player_width": len(season_stats.PLAYER_MEASURES), "ball_width": len(modeling.BALL_FEATURES)}
 
 
-@query("c14_augmented_training")
+# With an intercept and without a penalty the mean probability of the fitted rows is their mean label.
+_FIT = {"maxIter": 1000, "tol": 1e-9}
+_TRAINED = f"""SELECT count(*) FILTER (WHERE split = 'test') AS n_test, round(avg(label) FILTER (WHERE split = 'train'), 3) AS train_mean
+    FROM ({samples_sql(1)}) AS q"""
+
+
+@query(
+    "c14_augmented_training",
+    f"""SELECT w.k AS "window", n_test, train_mean FROM ({_TRAINED}) AS x
+        CROSS JOIN (VALUES {', '.join(f'({w})' for w in samples.WINDOW_OVERS)}) AS w(k) WHERE n_test > 0""",
+)
 def _(t):
-    trained = modeling.train_and_score(_samples(t), **_widths(), maxIter=10)
-    return metrics.binary_scores(metrics.predict(trained.scored), ["window"])
+    trained = modeling.train_and_score(_samples(t), **_widths(), **_FIT)
+    mean = trained.train.agg(F.round(F.avg("probability"), 3)).first()[0]
+    return trained.scored.groupBy("window").agg(F.count("probability").alias("n_test"), F.lit(mean).alias("train_mean"))
 
 
-@query("c15_plain_training")
+@query("c15_plain_training", _TRAINED)
 def _(t):
-    trained = modeling.train_and_score(_samples(t), **_widths(), windows=None, maxIter=10)
-    return modeling.evaluate(trained.scored, ["match_id"]).report
+    trained = modeling.train_and_score(_samples(t), **_widths(), windows=None, **_FIT)
+    mean = trained.train.agg(F.round(F.avg("probability"), 3)).first()[0]
+    return trained.scored.agg(F.count("probability").alias("n_test"), F.lit(mean).alias("train_mean"))
+
+
+_RUN_GROUPS = (2, 3, 5)
+
+
+def _run_sql(k):
+    return f"SELECT 'groups-{k}' AS run_id, * FROM ({grouped_sql(k)}) AS g{k}"
 
 
 @query(
     "c16_best_run_report",
-    f"""SELECT r.run_id, c.actual, c.predicted, c.n FROM
-        (SELECT run_id FROM ({P.RUNS}) AS r0 ORDER BY metric DESC NULLS LAST, run_id LIMIT 1) AS r,
-        (SELECT g.a AS actual, g.p AS predicted, count(s.doc_id) AS n
-         FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS g(a, p)
-         LEFT JOIN (SELECT doc_id, label, CASE WHEN probability > 0.5 THEN 1 ELSE 0 END AS prediction FROM ({P.SCORED}) AS s1) AS s
-           ON s.label = g.a AND s.prediction = g.p GROUP BY g.a, g.p) AS c""",
+    f"""WITH o AS ({' UNION ALL '.join(_run_sql(k) for k in _RUN_GROUPS)}),
+        m AS (SELECT run_id, g, avg(label) AS p FROM o WHERE split = 'train' GROUP BY run_id, g),
+        s AS (SELECT o.run_id, o.split, o.label, m.p FROM o JOIN m ON o.run_id = m.run_id AND o.g = m.g),
+        r AS (SELECT run_id FROM s WHERE split = 'val' GROUP BY run_id
+              ORDER BY avg(-(label * ln(p) + (1 - label) * ln(1 - p))), run_id LIMIT 1)
+        SELECT r.run_id, e.a AS actual, e.p AS predicted, count(t.label) AS n, round(max(t.mean), 4) AS mean_probability
+        FROM r CROSS JOIN (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS e(a, p)
+        LEFT JOIN (SELECT run_id, label, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS predicted, avg(p * p) OVER (PARTITION BY run_id) AS mean
+                   FROM s WHERE split = 'test') AS t
+          ON t.run_id = r.run_id AND t.label = e.a AND t.predicted = e.p GROUP BY r.run_id, e.a, e.p""",
 )
 def _(t):
-    chosen = modeling.select_run(t.sql(P.RUNS), "metric").select("run_id").scalar()
-    return modeling.evaluate(t.sql(P.SCORED), ["doc_id"]).confusion.select(chosen.alias("run_id"), "actual", "predicted", "n")
+    runs = []
+    for k in _RUN_GROUPS:
+        data, features = grouped_orders(t, k)
+        model = fit_groups(data, features)
+        scored = score(model, data.where("split = 'val'"), ["label"])
+        path = save_model(model, scratch_path(t.spark, f"run-{k}"))
+        runs.append((f"groups-{k}", metrics.cross_entropy(scored).first()[0], path))
+    table = t.spark.createDataFrame(runs, "run_id STRING, val_loss DOUBLE, path STRING")
+    chosen = modeling.select_run(table, "val_loss", maximize=False).first()
+    data, _ = grouped_orders(t, int(chosen["run_id"].split("-")[1]))
+    test = data.where("split = 'test'")
+    run_id, evaluation = modeling.evaluate_best_run(table, test, "val_loss", ["o_orderkey"], maximize=False)
+    mean = score(load_model(chosen["path"]), test, []).agg(F.round(F.avg(F.col("probability") ** 2), 4)).first()[0]
+    return evaluation.confusion.select(
+        F.lit(run_id).alias("run_id"), "actual", "predicted", "n", F.when(F.col("n") > 0, F.lit(mean)).alias("mean_probability")
+    )
 
 
 @query("c16_second_best_run", f"SELECT run_id, metric FROM ({P.RUNS}) AS r ORDER BY metric DESC NULLS LAST, run_id LIMIT 1 OFFSET 1")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wicketworks import schemas
 from wicketworks.catalog import proxies as P
 from wicketworks.catalog.registry import query, rounded
 from wicketworks.operators import aggregates, joins, ordering, rows, windows
@@ -117,21 +118,17 @@ def _(t):
     return joins.semi(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), keys, "l_orderkey")
 
 
-_SIDES = f"(SELECT DISTINCT team1 AS name FROM ({P.MATCHES}) AS x WHERE season = '1996') AS a"
-_WINNERS = f"(SELECT DISTINCT winner AS name FROM ({P.MATCHES}) AS y WHERE season = '1997') AS b"
-
-
 @query(
     "j07_two_sided_anti_join",
-    f"""SELECT a.name, 'left' AS side FROM {_SIDES} WHERE NOT EXISTS (SELECT 1 FROM {_WINNERS} WHERE a.name = b.name)
-        UNION ALL
-        SELECT b.name, 'right' AS side FROM {_WINNERS} WHERE NOT EXISTS (SELECT 1 FROM {_SIDES} WHERE a.name = b.name)""",
+    """SELECT CAST(a.o_custkey AS BIGINT) AS name, 'left' AS side FROM (SELECT DISTINCT o_custkey FROM {orders}) AS a
+       WHERE NOT EXISTS (SELECT 1 FROM {part} WHERE p_partkey + 60 = a.o_custkey)
+       UNION ALL
+       SELECT p_partkey + 60, 'right' FROM {part} WHERE NOT EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = p_partkey + 60)""",
 )
 def _(t):
-    matches = t.sql(P.MATCHES)
-    return joins.only_one_side(
-        matches.where("season = '1996'"), matches.where("season = '1997'"), "team1", "winner"
-    )
+    # Shifted, so that each side has keys of its own at every scale.
+    parts = t.part.select((F.col("p_partkey") + 60).alias("shifted"))
+    return joins.only_one_side(t.orders, parts, "o_custkey", "shifted")
 
 
 @query(
@@ -242,7 +239,7 @@ def _(t):
     return first.select("o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice")
 
 
-_HOLED = ["wides", "noballs", "byes", "legbyes", "penalty", "wicket_type", "runs_off_bat"]
+_HOLED = [field.split()[0] for field in schemas.DELIVERIES.split(", ")]
 
 
 @query(

@@ -173,11 +173,12 @@ def _(t):
     f"""SELECT s."Player" AS player, s."Season" AS season, codes.country_name AS country
         FROM (SELECT "Player", "Season", regexp_extract("Player", '\\((.*?)\\)', 1) AS code
               FROM ({P.PLAYER_SEASONS}) AS p) AS s
-        JOIN {P.KNOWN_CODES_SQL} ON s.code = codes.code
-        WHERE s.code NOT IN ('ICC/PAK')""",
+        JOIN {P.KNOWN_CODES_SQL} ON s.code = codes.code""",
 )
 def _(t):
-    plain = {k: v for k, v in COUNTRY_CODES.items() if k not in MIXED_TEAM_CODES and k not in OUTLIER_CODES}
+    # Labels with ICC/PAK are in the data: without the subtraction they would map to a country.
+    every = {**COUNTRY_CODES, **MIXED_TEAM_CODES, **OUTLIER_CODES}
+    plain = {k: v for k, v in every.items() if k not in MIXED_TEAM_CODES and k not in OUTLIER_CODES}
     seasons = t.sql(P.PLAYER_SEASONS).select(
         F.col("Player").alias("player"), F.col("Season").alias("season"), text.label_country("Player").alias("country")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wicketworks.functions.cleaning import null_or_nan
-from wicketworks.operators.skew import join_keys
+from wicketworks.operators.skew import join_keys, split_hot, union_parts
 from wicketworks.operators.windows import row_numbers
 
 # Rows per array. A match has a few hundred balls, so it is one chunk; larger groups
@@ -32,12 +32,13 @@ def distinct_count(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the first by ``order``.
+    """One row per key, the first by ``order``: an aggregation with map-side combine, without a sort of the rows.
 
-    Catalyst turns ``row_number = 1`` into a per-task limit before the shuffle.
+    Nulls come first, as in an ordering.
     """
-    spec = W.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(spec)).where(F.col("_n") == 1).drop("_n")
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    first = df.groupBy(*keys).agg(F.min_by(row, F.struct(*order)).alias("_row"))
+    return first.select("_row.*")
 
 
 def null_counts(df: DataFrame, count_nan: bool = True) -> DataFrame:
@@ -95,10 +96,18 @@ def drop_last_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, group_rows: int | None = None
 ) -> DataFrame:
     """All rows except the last ``n`` of each key; exactly ``n``, even when rows tie on ``order``."""
-    numbered = row_numbers(df, keys, order, "_pos", group_rows)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    placed = join_keys(numbered, sizes, keys)
-    return placed.where(F.col("_pos") <= F.col("_size") - n).drop("_pos", "_size")
+    bounded, hot = split_hot(df, keys, group_rows)
+    parts = []
+    if bounded is not None:  # number and size in one exchange and one sort
+        group = W.partitionBy(*keys)
+        placed = bounded.withColumns({"_pos": F.row_number().over(group.orderBy(*order)), "_size": F.count(F.lit(1)).over(group)})
+        parts.append(placed.where(F.col("_pos") <= F.col("_size") - n).drop("_pos", "_size"))
+    if hot is not None:
+        numbered = row_numbers(hot, keys, order, "_pos", group_rows)
+        sizes = hot.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+        placed = join_keys(numbered, sizes, keys)
+        parts.append(placed.where(F.col("_pos") <= F.col("_size") - n).drop("_pos", "_size").select(*df.columns))
+    return union_parts(parts)
 
 
 def last_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:

@@ -202,6 +202,22 @@ def metrics_table(
     return staged.unionByName(overall)
 
 
+def _marked(
+    history: DataFrame, epoch: str, loss: str, keys: list[str], group_rows: int | None
+) -> DataFrame:
+    """The history with best loss before each epoch, and epoch, loss and place of the last improvement."""
+    seen = running(
+        history, keys, [epoch], [Running("min", loss, "best_before"), Running("count", None, "_i")],
+        inclusive=False, group_rows=group_rows,
+    )
+    improved = F.col("best_before").isNull() | (F.col(loss) < F.col("best_before"))
+    seen = seen.withColumn("improved", improved.cast("int")).withColumns(
+        {f"_at_{n}": F.when(improved, F.col(c)) for n, c in (("i", "_i"), ("epoch", epoch), ("loss", loss))}
+    )
+    last = [Running("last", f"_at_{n}", f"_last_{n}") for n in ("i", "epoch", "loss")]
+    return running(seen, keys, [epoch], last, group_rows=group_rows).withColumn("since_best", F.col("_i") - F.col("_last_i"))
+
+
 def training_history(
     history: DataFrame,
     epoch: str = "epoch",
@@ -210,19 +226,8 @@ def training_history(
     group_rows: int | None = None,
 ) -> DataFrame:
     """Per epoch: best loss before it, whether it improved, and epochs since the last improvement."""
-    keys = list(keys)
-    seen = running(
-        history, keys, [epoch], [Running("min", loss, "best_before"), Running("count", None, "_i")],
-        inclusive=False, group_rows=group_rows,
-    )
-    improved = F.col("best_before").isNull() | (F.col(loss) < F.col("best_before"))
-    seen = seen.withColumn("improved", improved.cast("int")).withColumn(
-        "_improved_at", F.when(improved, F.col("_i"))
-    )
-    last = running(seen, keys, [epoch], [Running("last", "_improved_at", "_last")], group_rows=group_rows)
-    return last.select(
-        *history.columns, "best_before", "improved", (F.col("_i") - F.col("_last")).alias("since_best")
-    )
+    marked = _marked(history, epoch, loss, list(keys), group_rows)
+    return marked.select(*history.columns, "best_before", "improved", "since_best")
 
 
 def early_stop(
@@ -233,18 +238,12 @@ def early_stop(
     patience: int = 10,
     group_rows: int | None = None,
 ) -> DataFrame:
-    """Stop epoch (the last one if patience never runs out), best epoch up to it and its loss."""
-    keys = list(keys)
-    marked = training_history(history, epoch, loss, keys, group_rows)
-    stops = marked.groupBy(*keys).agg(
-        F.coalesce(
-            F.min(F.when(F.col("since_best") >= patience, F.col(epoch))), F.max(epoch)
-        ).alias("stop_epoch")
-    )
-    ran = marked.join(stops, keys) if keys else marked.withColumn("stop_epoch", stops.scalar())
-    upto = ran.where(F.col(epoch) <= F.col("stop_epoch"))
-    return upto.groupBy(*keys).agg(
-        F.max("stop_epoch").alias("stop_epoch"),
-        F.min_by(epoch, F.struct(loss, epoch)).alias("best_epoch"),
-        F.min(loss).alias("best_loss"),
-    )
+    """Stop epoch (the last one if patience never runs out), best epoch up to it and its loss.
+
+    Losses fall from one improvement to the next, so the best epoch up to any row is the last improvement
+    there: the first row without patience, or else the last row, holds the answer.
+    """
+    marked = _marked(history, epoch, loss, list(keys), group_rows)
+    row = F.struct(F.col(epoch).alias("stop_epoch"), F.col("_last_epoch").alias("best_epoch"), F.col("_last_loss").alias("best_loss"))
+    stop = F.coalesce(F.min(F.when(F.col("since_best") >= patience, row)), F.max(row))
+    return marked.groupBy(*keys).agg(stop.alias("_row")).select(*keys, "_row.*")

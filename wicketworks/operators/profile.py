@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wicketworks.operators.joins import union_all
-
 _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 
@@ -24,8 +22,8 @@ def column_profile(
     """One row per column: type, count, missing, distinct, min, max, mean, stddev, quartiles.
 
     One aggregation over the table. Distinct values are sketched in it by default; with
-    ``exact_distinct`` they are counted by one distinct per column, each of which scans only
-    its own column and combines on the map side.
+    ``exact_distinct`` they are counted in one more pass: pairs of column and value are made distinct,
+    combined on the map side, and counted by column.
     """
     types = dict(df.dtypes)
     numeric = set(numeric_columns(df))
@@ -39,10 +37,8 @@ def column_profile(
         text = c.cast("string")
         distinct = F.lit(None).cast("bigint") if exact_distinct else F.approx_count_distinct(c)
         if name in numeric:
-            quartiles = [
-                F.percentile_approx(number, F.lit(q), accuracy).alias(n)
-                for n, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
-            ]
+            sketch = F.percentile_approx(number, [0.25, 0.5, 0.75], accuracy)
+            quartiles = [sketch[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))]
         else:
             quartiles = [F.lit(None).cast("double").alias(n) for n in ("q1", "median", "q3")]
         return F.struct(
@@ -62,13 +58,11 @@ def column_profile(
     profile = summaries.select(F.inline("_columns"))
     if not exact_distinct:
         return profile
-    counts = union_all(
-        [
-            df.select(F.col(f"`{c}`").alias("_v")).distinct().agg(F.lit(c).alias("column"), F.count("_v").alias("_d"))
-            for c in df.columns
-        ]
-    )
-    return profile.join(counts, "column").withColumn("n_distinct", F.col("_d")).drop("_d")
+    # The text of a value tells it from all others of its column; doubles print all their digits.
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("_v")) for c in df.columns])
+    counts = df.select(F.inline(pairs)).distinct().groupBy("column").agg(F.count("_v").alias("_d"))
+    joined = profile.join(counts, "column", "left")
+    return joined.withColumn("n_distinct", F.coalesce("_d", F.lit(0))).drop("_d")
 
 
 def top_values(df: DataFrame, columns: Sequence[str], k: int = 5) -> DataFrame:

@@ -2,6 +2,8 @@
 
 Arrays come in chunks (see ``sequences``): chunk 0 holds everything for any match of
 ordinary length, and an oversized match continues in rows with higher chunk numbers.
+``start`` is the number of elements before a chunk. No result depends on the chunk size:
+batches number matches, shapes add up a match's chunks, positions count from ``start``.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from wicketworks.functions.arrays import pad, prefix
 from wicketworks.operators.aggregates import CHUNK_ROWS, sequences
 from wicketworks.operators.ordering import hash_unit
+from wicketworks.operators.skew import join_keys
 from wicketworks.operators.windows import row_numbers
 
 # Stage windows in overs, and balls per over.
@@ -43,7 +46,7 @@ def build_samples(
     chunk_rows: int = CHUNK_ROWS,
     group_rows: int | None = None,
 ) -> DataFrame:
-    """(key, chunk, label, team, players, balls, n_balls) for the keys all three tables have.
+    """(key, chunk, start, label, team, players, balls, n_balls) for the keys all three tables have.
 
     The label is that of the first ball; the last ``drop_last`` balls are left out. The team
     vector and the label stand in every chunk row of a match.
@@ -65,6 +68,7 @@ def build_samples(
     samples = heads.join(bodies, key).select(
         key,
         "chunk",
+        (F.col("chunk") * chunk_rows).alias("start"),
         "label",
         "team",
         F.coalesce("players", empty).alias("players"),
@@ -104,14 +108,13 @@ def augment(
     samples: DataFrame,
     windows: Sequence[int] = WINDOW_OVERS,
     unit: int = BALLS_PER_OVER,
-    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """One sample per window, holding the first ``window * unit`` balls, or all if there are fewer.
 
     A narrow transformation: other columns, the split included, are carried along.
     """
     staged = samples.withColumn("window", F.explode(F.array(*[F.lit(int(w)) for w in windows])))
-    wanted = F.col("window") * unit - F.col("chunk") * chunk_rows
+    wanted = F.col("window") * unit - F.col("start")
     return (
         staged.withColumn("balls", prefix(F.col("balls"), wanted))
         .withColumn("n_balls", F.least(F.col("n_balls"), F.col("window") * unit))
@@ -126,40 +129,55 @@ def assign_batches(
     split: str = "split",
     group_rows: int | None = None,
 ) -> DataFrame:
-    """0-based batch number inside each split, in the given order."""
-    numbered = row_numbers(samples, [split], order, "_n", group_rows)
-    return numbered.withColumn("batch_id", F.floor((F.col("_n") - 1) / batch_size)).drop("_n")
+    """0-based batch number inside each split, in the given order.
+
+    Rows with chunks are numbered by their first chunk, so a batch holds ``batch_size`` samples
+    however many chunks they have; ``order`` must then identify a sample.
+    """
+    whole = "chunk" not in samples.columns
+    heads = samples if whole else samples.where("chunk = 0").select(split, *order)
+    numbered = row_numbers(heads, [split], order, "_n", group_rows)
+    numbered = numbered.withColumn("batch_id", F.floor((F.col("_n") - 1) / batch_size)).drop("_n")
+    return numbered if whole else join_keys(samples, numbered, [split, *order])
 
 
 def pad_batches(
-    samples: DataFrame, array: str, width: int, batch: Sequence[str] = ("split", "batch_id", "chunk")
+    samples: DataFrame, array: str, width: int, key: Sequence[str], batch: Sequence[str] = ("split", "batch_id")
 ) -> DataFrame:
-    """Zero-pad the sequences of a batch to the longest one in it (a batch is a bounded group)."""
-    longest = samples.groupBy(*batch).agg(F.max(F.size(array)).alias("padded_length"))
+    """Zero-pad the sequences of a batch to the longest one in it (a batch is a bounded group).
+
+    Chunks are padded one by one, and a sample that ends before the longest one gets the chunks that
+    it lacks, filled with zeros and with its other arrays empty.
+    """
+    longest = samples.groupBy(*batch, "chunk").agg(F.max(F.size(array)).alias("padded_length"), F.max("start").alias("start"))
+    heads = samples.where("chunk = 0").drop("chunk", "start").join(longest.where("chunk > 0"), list(batch))
+    lacking = join_keys(heads, samples.select(*key, "chunk"), [*key, "chunk"], "left_anti")
+    empty = [c for c, kind in samples.dtypes if kind.startswith("array<array") and c != "team"]
+    lacking = lacking.withColumns({c: F.array().cast(samples.schema[c].dataType) for c in empty})
+    there = samples.join(longest.drop("start"), [*batch, "chunk"])
     zeros = F.array_repeat(F.lit(0.0), width)
-    return samples.join(longest, list(batch)).withColumn(array, pad(F.col(array), F.col("padded_length"), zeros))
+    return there.unionByName(lacking).withColumn(array, pad(F.col(array), F.col("padded_length"), zeros))
 
 
-def input_shapes(samples: DataFrame) -> DataFrame:
-    """Team width, player rows and columns, ball columns."""
+def input_shapes(samples: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Team width, most player rows of a sample, player columns and ball columns."""
 
     def width(array: str) -> Column:
         return F.max(F.coalesce(F.size(F.try_element_at(F.col(array), F.lit(1))), F.lit(0)))
 
-    return samples.agg(
+    per_sample = samples.groupBy(*key).agg(
         F.max(F.size("team")).alias("team_width"),
-        F.max(F.size("players")).alias("player_rows"),
+        F.sum(F.size("players")).cast("int").alias("player_rows"),
         width("players").alias("player_columns"),
         width("balls").alias("ball_columns"),
     )
+    names = ["team_width", "player_rows", "player_columns", "ball_columns"]
+    return per_sample.agg(*[F.max(n).alias(n) for n in names])
 
 
-def explode_rows(
-    samples: DataFrame, keys: Sequence[str], array: str, names: Sequence[str], chunk_rows: int = CHUNK_ROWS
-) -> DataFrame:
+def explode_rows(samples: DataFrame, keys: Sequence[str], array: str, names: Sequence[str]) -> DataFrame:
     """A sequence back to one named row per element, with its 0-based position."""
-    offset = (F.col("chunk") * chunk_rows).cast("int")
-    rows = samples.select(*keys, offset.alias("_start"), F.posexplode(array).alias("_i", "_v"))
+    rows = samples.select(*keys, F.col("start").cast("int").alias("_start"), F.posexplode(array).alias("_i", "_v"))
     return rows.select(
         *keys,
         (F.col("_start") + F.col("_i")).alias("position"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wicketworks.operators import metrics
-from wicketworks.operators.modeling import baseline_classifier, flatten_samples, score
+from wicketworks.operators.modeling import baseline_classifier, flatten_samples, load_model, score
 from wicketworks.operators.ordering import best
 from wicketworks.operators.samples import WINDOW_OVERS, augment, build_samples, split_exact, split_of
 from wicketworks.plans.merge import BALL_COLUMNS
@@ -83,6 +83,7 @@ def evaluate(
 class Trained(NamedTuple):
     model: PipelineModel
     scored: DataFrame
+    train: DataFrame
 
 
 def train_and_score(
@@ -103,9 +104,19 @@ def train_and_score(
     keys = [c for c in ("match_id", "window") if c in flat.columns]
     features = [c for c in flat.columns if c not in (*keys, "split", "label")]
     model = baseline_classifier(features, **params).fit(flat.where(F.col("split") == "train"))
-    return Trained(model, score(model, flat.where(F.col("split") == "test"), [*keys, "label"]))
+    test, train = (score(model, flat.where(F.col("split") == x), [*keys, "label"]) for x in ("test", "train"))
+    return Trained(model, test, train)
 
 
 def select_run(runs: DataFrame, metric: str, maximize: bool = True, k: int = 1) -> DataFrame:
-    """The best (or k-th best) run; its model is then loaded and scored with ``evaluate``."""
+    """The best (or k-th best) run."""
     return best(runs, metric, maximize, k, tiebreak=["run_id"])
+
+
+def evaluate_best_run(
+    runs: DataFrame, data: DataFrame, metric: str, order: Sequence[str], maximize: bool = True
+) -> tuple[str, Evaluation]:
+    """Load the model of the best run in ``runs`` (run_id, metric, path), score ``data`` with it and evaluate."""
+    chosen = select_run(runs, metric, maximize).select("run_id", "path").first()
+    scored = score(load_model(chosen["path"]), data, [*order, "label"])
+    return chosen["run_id"], evaluate(scored, order)
