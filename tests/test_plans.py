@@ -328,3 +328,19 @@ def test_pages(spark):
     named = table_columns(kept, ["Player", "Unnamed: 1", "Absent"])
     assert named.where("page = 3 AND stat_type = 'batting'").orderBy("row_no").first()["Player"] == "P & 0"
     assert named.where("Absent IS NOT NULL").count() == 0 and named.where("`Unnamed: 1` = '-'").count() == 14
+
+
+def test_spans_and_heads_of_html_tables():
+    from wicketworks.sources.html_tables import _parse
+
+    def only(body):
+        return _parse(f"<table>{body}</table>")[0]
+
+    head = "<tr><th>A</th><th>B</th><th>C</th></tr>"
+    assert only(head + "<tr><td colspan=2>x</td><td>y</td></tr>") == (["A", "B", "C"], [["x", "x", "y"]])
+    assert only("<thead><tr><td>A</td><td></td></tr></thead><tr><td>1</td></tr>") == (["A", "Unnamed: 1"], [["1"]])
+    assert only(head + "<tr><td rowspan=3>x</td><td>1</td></tr><tr><td>2</td></tr><tr><td>3</td><td>4</td></tr><tr><td>5</td></tr>")[1] == [
+        ["x", "1"], ["x", "2"], ["x", "3", "4"], ["5"],
+    ]
+    assert only(head + "<tr><td>1</td><td rowspan='2' colspan=2>x</td></tr><tr><td>2</td></tr>")[1] == [["1", "x", "x"], ["2", "x", "x"]]
+    assert only(head + "<tr><td colspan=none>1</td><td rowspan=0>2</td></tr>")[1] == [["1", "2"]]

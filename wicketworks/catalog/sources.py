@@ -194,6 +194,29 @@ def _(t):
     )
 
 
+@query(
+    "s08_html_tables_with_spans",
+    """SELECT CAST(p_partkey AS STRING) AS "Key", p_name AS "Name", CASE WHEN p_size % 2 = 0 THEN p_name ELSE CAST(p_size AS STRING) END AS "Size"
+       FROM {part}
+       UNION ALL SELECT CAST(p_partkey AS STRING), 'second', CAST(p_size + 1 AS STRING) FROM {part}""",
+)
+def _(t):
+    """A head of plain cells, a name over two columns where the size is even, a key over two rows."""
+    name, size = F.col("name"), F.col("size")
+    wide = F.when(size % 2 == 0, F.concat(F.lit('<td colspan="2">'), name, F.lit("</td>"))).otherwise(
+        F.concat(F.lit("<td>"), name, F.lit("</td><td>"), size.cast("string"), F.lit("</td>"))
+    )
+    lines = F.concat(
+        F.lit("<tr><td rowspan=2>"), F.col("key").cast("string"), F.lit("</td>"), wide, F.lit("</tr><tr><td>second</td><td>"),
+        (size + 1).cast("string"), F.lit("</td></tr>"),
+    )
+    packed = _parts(t).groupBy("page", "stat_type").agg(F.array_join(F.collect_list(lines), "").alias("body"))
+    start = _BEFORE.replace("<th>", "<td>").replace("</th>", "</td>")
+    pages = packed.select("page", "stat_type", F.concat(F.lit(start), "body", F.lit(_AFTER)).alias("html"))
+    rows = html_tables.extract_tables(pages).where("row_no IS NOT NULL")
+    return html_tables.table_columns(rows, ["Key", "Name", "Size"]).select("Key", "Name", "Size")
+
+
 def _team_pages(t):
     """All parts on consecutive pages, then a page with one row, then a copy of the first page."""
     parts = _parts(t).withColumn("stat_type", F.lit("team"))

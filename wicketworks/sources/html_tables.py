@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -12,33 +13,59 @@ from pyspark.sql import functions as F
 EXTRACTED = "page BIGINT, stat_type STRING, row_no INT, header ARRAY<STRING>, cells ARRAY<STRING>"
 
 
+# The largest spans that HTML knows.
+_MOST_COLUMNS, _MOST_ROWS = 1000, 65534
+
+
+class _Cell(NamedTuple):
+    text: str
+    head: bool
+    columns: int
+    rows: int
+
+
+class _Row:
+    """Cells of one row, and whether the row stands in the table's head."""
+
+    def __init__(self, in_head: bool) -> None:
+        self.in_head = in_head
+        self.cells: list[_Cell] = []
+
+
 class _Tables(HTMLParser):
-    """Collects tables in document order as lists of rows of (is_header, text) cells."""
+    """Collects tables in document order as lists of rows."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.tables: list[list[list[tuple[bool, str]]]] = []
+        self.tables: list[list[_Row]] = []
         self.open: list[dict] = []
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
-            rows: list = []
+            rows: list[_Row] = []
             self.tables.append(rows)
-            self.open.append({"rows": rows, "cell": None, "head": False})
+            self.open.append({"rows": rows, "cell": None, "kind": None, "in_head": False})
         elif self.open:
             table = self.open[-1]
-            if tag == "tr":
+            if tag in ("thead", "tbody", "tfoot"):
+                self._close_cell()
+                table["in_head"] = tag == "thead"
+            elif tag == "tr":
                 self._close_cell()
-                table["rows"].append([])
+                table["rows"].append(_Row(table["in_head"]))
             elif tag in ("td", "th"):
                 self._close_cell()
-                table["cell"], table["head"] = [], tag == "th"
+                spans = dict(attrs)
+                columns = _span(spans.get("colspan"), _MOST_COLUMNS)
+                table["cell"], table["kind"] = [], (tag == "th", columns, _span(spans.get("rowspan"), _MOST_ROWS))
 
     def handle_endtag(self, tag):
         if not self.open:
             return
-        if tag in ("td", "th", "tr"):
+        if tag in ("td", "th", "tr", "thead"):
             self._close_cell()
+            if tag == "thead":
+                self.open[-1]["in_head"] = False
         elif tag == "table":
             self._close_cell()
             self.open.pop()
@@ -51,24 +78,63 @@ class _Tables(HTMLParser):
         table = self.open[-1]
         if table["cell"] is not None:
             if not table["rows"]:
-                table["rows"].append([])
-            table["rows"][-1].append((table["head"], " ".join("".join(table["cell"]).split())))
+                table["rows"].append(_Row(table["in_head"]))
+            head, columns, rows = table["kind"]
+            table["rows"][-1].cells.append(_Cell(" ".join("".join(table["cell"]).split()), head, columns, rows))
             table["cell"] = None
 
 
+def _span(value: str | None, most: int) -> int:
+    text = (value or "").strip()
+    return min(max(int(text), 1), most) if text.isascii() and text.isdigit() else 1
+
+
+def _grid(rows: list[_Row]) -> list[list[str]]:
+    """Texts by row and column; a cell is repeated over the columns and rows that it spans."""
+    out = []
+    below: dict[int, tuple[str, int]] = {}  # column: text and rows that it still covers
+    for row in rows:
+        line: list[str] = []
+        later: dict[int, tuple[str, int]] = {}
+
+        def covered() -> None:
+            while len(line) in below:
+                text, left = below.pop(len(line))
+                if left > 1:
+                    later[len(line)] = (text, left - 1)
+                line.append(text)
+
+        for cell in row.cells:
+            for _ in range(cell.columns):
+                covered()
+                if cell.rows > 1:
+                    later[len(line)] = (cell.text, cell.rows - 1)
+                line.append(cell.text)
+        covered()
+        below = {**below, **later}
+        out.append(line)
+    return out
+
+
 def _parse(html: str) -> list[tuple[list[str], list[list[str]]]]:
+    """(header, rows) of every table with text. Rows in the head are the header whatever their cells are, the last
+    one naming the columns; without a head it is a first row of header cells.
+    """
     parser = _Tables()
     parser.feed(html)
     parser.close()
     found = []
     for rows in parser.tables:
-        rows = [r for r in rows if r]
-        if not any(text for row in rows for _, text in row):
+        rows = [r for r in rows if r.cells]
+        if not any(cell.text for row in rows for cell in row.cells):
             continue
-        headed = bool(rows) and all(is_head for is_head, _ in rows[0])
-        first = [text for _, text in rows[0]] if headed else []
+        lines = _grid(rows)
+        heads = [i for i, row in enumerate(rows) if row.in_head]
+        if not heads and all(cell.head for cell in rows[0].cells):
+            heads = [0]
+        first = lines[heads[-1]] if heads else []
         header = [text or f"Unnamed: {i}" for i, text in enumerate(first)]
-        found.append((header, [[text for _, text in row] for row in rows[1 if headed else 0 :]]))
+        found.append((header, [line for i, line in enumerate(lines) if i not in heads]))
     return found
 
 
