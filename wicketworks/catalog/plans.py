@@ -384,8 +384,8 @@ def _merged(t):
 
 
 def _common(t, **options):
-    player_rows = merge.match_players(t.sql(P.ROSTER), _players(t))
-    return merge.common_matches(_match_teams(t), _balls(t), player_rows, **options)
+    """Keys and rows come from the stored layer: three scans, whatever it took to make the layer."""
+    return merge.common_matches(*_merged(t), **options)
 
 
 @query("c12_common_team_rows", f"SELECT * FROM ({match_teams_sql()}) AS q WHERE match_id IN ({_KEYS3})")
