@@ -344,3 +344,20 @@ def test_spans_and_heads_of_html_tables():
     ]
     assert only(head + "<tr><td>1</td><td rowspan='2' colspan=2>x</td></tr><tr><td>2</td></tr>")[1] == [["1", "x", "x"], ["2", "x", "x"]]
     assert only(head + "<tr><td colspan=none>1</td><td rowspan=0>2</td></tr>")[1] == [["1", "2"]]
+
+
+def test_broken_archives_and_members_are_rejected(spark, tmp_path):
+    import zipfile
+
+    from wicketworks.sources.archives import read_archives
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.writestr("x/one.csv", "1")
+        archive.writestr("two.csv", b"\xff\xfe")
+        archive.writestr("three.txt", "no table")
+    (tmp_path / "b.zip").write_bytes(b"not an archive")
+    with zipfile.ZipFile(tmp_path / "c.zip", "w"):
+        pass
+    read, rejected = read_archives(spark, f"file://{tmp_path}")
+    assert rows(read, "file_name", "text") == [("one.csv", "1")]
+    assert sorted((r["archive"].rsplit("/", 1)[1], r["file_name"]) for r in rejected.collect()) == [("a.zip", "two.csv"), ("b.zip", None)]

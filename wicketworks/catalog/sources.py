@@ -154,6 +154,37 @@ def _(t):
     return archives.unpack_archives(customer_archives(t)).select("file_name", "text")
 
 
+def stored_archives(t):
+    """The customers' archives as files of the shared folder, a broken one among them; returns the folder."""
+    folder = scratch_path(t.spark, "archives")
+
+    def store(batches):
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                for name, body in ((path, bytes(content)), (f"broken-{path}", bytes(content)[: len(content) // 2])):
+                    with system.open_output_stream(f"{root}/{name}") as out:
+                        out.write(body)
+                    yield pd.DataFrame({"name": [name]})
+
+    from pyarrow import fs
+
+    system, root = fs.FileSystem.from_uri(folder)
+    system.create_dir(root, recursive=True)
+    customer_archives(t).mapInPandas(store, "name STRING").count()
+    return folder
+
+
+@query(
+    "s07_read_archive_files",
+    "SELECT CAST(c_custkey AS STRING) || '.csv' AS file_name, c_name AS text FROM {customer}",
+)
+def _(t):
+    return archives.read_archives(t.spark, stored_archives(t))[0].select("file_name", "text")
+
+
 def _row(cells):
     parts = [F.concat(F.lit("<td>"), c.cast("string"), F.lit("</td>")) for c in cells]
     return F.concat(F.lit("<tr>"), *parts, F.lit("<td></td></tr>"))
