@@ -361,3 +361,17 @@ def test_broken_archives_and_members_are_rejected(spark, tmp_path):
     read, rejected = read_archives(spark, f"file://{tmp_path}")
     assert rows(read, "file_name", "text") == [("one.csv", "1")]
     assert sorted((r["archive"].rsplit("/", 1)[1], r["file_name"]) for r in rejected.collect()) == [("a.zip", "two.csv"), ("b.zip", None)]
+
+
+def test_settings_are_merged_and_intermediates_released(spark, monkeypatch):
+    from wicketworks import session
+
+    merged = session.merged_settings({"spark.sql.shuffle.partitions": "3", "spark.sql.session.timeZone": "CET"})
+    assert merged == {**session.SESSION_DEFAULTS, "spark.sql.shuffle.partitions": "3", "spark.sql.session.timeZone": "CET"}
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    session.materialize(spark.range(3).toDF("i"))
+    unused = session.scratch_path(spark, "unused")
+    kept = list(session._SCRATCH)
+    assert kept[1] == unused and session.release(spark) == 1 and session._SCRATCH == []
+    jvm = spark.sparkContext._jvm
+    assert not jvm.java.io.File(kept[0].removeprefix("file:")).exists()

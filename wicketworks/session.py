@@ -17,6 +17,15 @@ SESSION_DEFAULTS = {
 }
 
 
+# Folders of intermediates that this process made below the shared folder.
+_SCRATCH: list[str] = []
+
+
+def merged_settings(overrides: dict[str, str] | None = None) -> dict[str, str]:
+    """The defaults with the overrides over them."""
+    return {**SESSION_DEFAULTS, **(overrides or {})}
+
+
 def create_session(
     name: str = "wicketworks",
     overrides: dict[str, str] | None = None,
@@ -26,7 +35,7 @@ def create_session(
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_DEFAULTS, **(overrides or {})}.items():
+    for key, value in merged_settings(overrides).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
@@ -51,7 +60,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the intermediates written so far and return their number; frames made from them are then void.
+
+    Nothing but folders that ``scratch_path`` named in this process is touched.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
