@@ -69,7 +69,7 @@ def changed(line, rng):
     return line
 
 
-@pytest.mark.parametrize("group_lines", [64, 3])
+@pytest.mark.parametrize("group_lines", [256, 3])
 def test_lines_of_a_made_corpus(spark, group_lines):
     rng = random.Random(5)
     base = ["".join(rng.choice("abcdef ") for _ in range(rng.randrange(18, 60))) for _ in range(12)]

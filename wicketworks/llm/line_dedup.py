@@ -14,8 +14,8 @@ from wicketworks.session import materialize
 
 MAX_EDITS = 2
 LEAST_CHARS = 20
-# Lines that share a segment and are compared directly; larger groups are parted by further segments.
-GROUP_LINES = 64
+# Rows of a group with one segment that a task compares at once; larger groups are compared in parts.
+GROUP_LINES = 256
 SEEN_LINES = 200_000
 BLANKS = " \t\r\f\v"
 SEED = 42
@@ -50,6 +50,15 @@ def signatures(text: str, edits: int) -> Iterator[tuple[int, int, int, int, bool
                 yield i, length, start + shift, size, shorter == 0 and shift == 0
 
 
+def _alike(equal, most: int) -> int:
+    """Largest n up to ``most`` for which ``equal`` holds, by halving."""
+    low = 0
+    while low < most:
+        middle = (low + most + 1) // 2
+        low, most = (middle, most) if equal(middle) else (low, middle - 1)
+    return low
+
+
 def within_edits(a: str, b: str, edits: int) -> bool:
     """Whether the edit distance is at most ``edits``: bit-parallel over a diagonal band.
 
@@ -58,12 +67,9 @@ def within_edits(a: str, b: str, edits: int) -> bool:
     """
     if abs(len(a) - len(b)) > edits:
         return False
-    at, most = 0, min(len(a), len(b))
-    while at < most and a[at] == b[at]:
-        at += 1
-    end = 0
-    while end < most - at and a[-1 - end] == b[-1 - end]:
-        end += 1
+    most = min(len(a), len(b))
+    at = _alike(lambda n: a[:n] == b[:n], most)
+    end = _alike(lambda n: a[len(a) - n :] == b[len(b) - n :], most - at)
     a, b = a[at : len(a) - end], b[at : len(b) - end]
     if not a or not b:
         return max(len(a), len(b)) <= edits
@@ -86,6 +92,8 @@ def within_edits(a: str, b: str, edits: int) -> bool:
         left = diagonal & rising
         if j < len(a) - edits:  # down the band's lowest diagonal until it meets the last row
             distance += not diagonal & lowest
+            if distance > 3 * edits:  # the last row gives back at most twice the edits
+                return False
         else:  # then along the last row
             distance += bool(right & last_row) - bool(left & last_row)
             last_row >>= 1
@@ -144,94 +152,87 @@ def line_signatures(docs: DataFrame, text: str, edits: int, least_chars: int) ->
 
 
 def _contested(rows: DataFrame) -> DataFrame:
-    """Rows whose signature two different lines share, at least one of them as a segment of its own; with the number of rows."""
+    """Rows whose signature two different lines share, at least one of them as a segment of its own."""
     same = W.partitionBy("sig")
-    marked = rows.select("*", F.min("line").over(same).alias("_a"), F.max("line").over(same).alias("_b"), F.max("own").over(same).alias("_o"), F.count(F.lit(1)).over(same).alias("n"))
-    return marked.where("_a <> _b AND _o").drop("_a", "_b", "_o").dropDuplicates(rows.columns)
-
-
-def _parted(rows: DataFrame, edits: int) -> DataFrame:
-    """Larger groups parted once more: what is left beside the shared segment is itself within the edits."""
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
+    marked = rows.select("*", F.min("line").over(same).alias("_a"), F.max("line").over(same).alias("_b"), F.max("own").over(same).alias("_o"))
+    return marked.where("_a <> _b AND _o").drop("_a", "_b", "_o").dropDuplicates(["sig", "line", "own"])
 
-        for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            for sig, line, rest in zip(*(batch.column(c).to_pylist() for c in ("sig", "line", "rest"))):
-                for i, length, start, size, own in signatures(rest, edits):
-                    seed = (sig ^ (length * (edits + 1) + i) * 0x9E3779B97F4A7C15) & ((1 << 64) - 1)
-                    value = xxh64_intdigest(rest[start : start + size].encode(), seed)
-                    out[0].append(value - (1 << 64) if value >> 63 else value)
-                    out[1].append(line)
-                    out[2].append(own)
-                    out[3].append(rest[:start] + "\x00" + rest[start + size :])
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.bool_(), pa.string()))], ["sig", "line", "own", "rest"])
-
-    return rows.select("sig", "line", "rest").mapInArrow(made, "sig bigint, line bigint, own boolean, rest string")
 
+def _rectangles(rows: DataFrame, group_lines: int) -> DataFrame:
+    """Rows with ``left`` and ``right``: the part of their group that a task compares.
 
-def _rests(rows: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
-    """For each row what its line has beside the segment that gave the signature."""
+    A group of up to ``group_lines`` rows is one part; a larger one is cut into chunks by the hash of the line, and a task
+    gets the rows of two chunks. Every two rows of a group meet in exactly one part.
+    """
+    sizes = rows.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / group_lines).alias("chunks")).withColumnRenamed("sig", "_sig")
+    cut = rows.join(sizes, F.col("sig") == F.col("_sig")).withColumn("own_chunk", F.pmod(F.xxhash64("line"), F.col("chunks")))
+    each = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    return each.select("*", F.least("own_chunk", "other").alias("left"), F.greatest("own_chunk", "other").alias("right")).drop("_sig", "chunks", "other")
+
+
+def _compared(rows: DataFrame, edits: int) -> DataFrame:
+    """Links of the parts. A part hands on a forest: two lines that are already joined need not be compared."""
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: tuple | None = None
+        texts: dict[int, tuple[str, int]] = {}
+        own: set[int] = set()
+
+        def joined(cross: bool) -> tuple[list[int], list[int]]:
+            root = {k: k for k in texts}
+
+            def find(k: int) -> int:
+                while root[k] != k:
+                    root[k] = k = root[root[k]]
+                return k
+
+            found: tuple[list[int], list[int]] = ([], [])
+            by_length = sorted(texts, key=lambda k: (len(texts[k][0]), k))
+            for i, a in enumerate(by_length):
+                text, chunk = texts[a]
+                for j in range(i + 1, len(by_length)):
+                    b = by_length[j]
+                    other, beside = texts[b]
+                    if len(other) - len(text) > edits:
+                        break
+                    if (a in own or b in own) and (chunk != beside or not cross) and find(a) != find(b) and within_edits(text, other, edits):
+                        root[find(b)] = find(a)
+                        found[0].append(a), found[1].append(b)
+            return found
+
+        def batch_of(found: tuple[list[int], list[int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["a", "b"])
 
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, list, list] = ([], [], [])
-            for sig, line, whole in zip(*(batch.column(c).to_pylist() for c in ("sig", "line", "text"))):
-                of: tuple[list, list, list] = ([], [], [])
-                _signature_rows([line], [whole], edits, of)
-                for value, (_, _, start, size, _) in zip(of[0], signatures(whole, edits)):
-                    if value == sig:
-                        out[0].append(sig), out[1].append(line), out[2].append(whole[:start] + "\x00" + whole[start + size :])
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())], ["sig", "line", "rest"])
-
-    joined = rows.select("sig", "line").distinct().join(texts, F.col("line") == F.col("of")).select("sig", "line", "text")
-    return joined.mapInArrow(made, "sig bigint, line bigint, rest string")
-
-
-def _pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of different lines in one small group, one of them found under its own segment."""
-    own = rows.where("own").select(F.col("sig").alias("_s"), F.col("line").alias("_l")).distinct()
-    met = rows.select("sig", "line").distinct().join(own, F.col("sig") == F.col("_s")).where("line <> _l")
-    return met.select(F.least("line", "_l").alias("a"), F.greatest("line", "_l").alias("b")).distinct()
+            columns = [batch.column(c).to_pylist() for c in ("sig", "left", "right", "line", "own", "own_chunk", "text")]
+            for sig, left, right, line, is_own, chunk, text in zip(*columns):
+                if (sig, left, right) != group:
+                    if group is not None:
+                        yield batch_of(joined(group[1] != group[2]))
+                    group, texts, own = (sig, left, right), {}, set()
+                texts[line] = (text, chunk)
+                if is_own:
+                    own.add(line)
+        if group is not None:
+            yield batch_of(joined(group[1] != group[2]))
+
+    dealt = rows.repartition("sig", "left", "right").sortWithinPartitions("sig", "left", "right")
+    return dealt.select("sig", "left", "right", "line", "own", "own_chunk", "text").mapInArrow(links, "a bigint, b bigint")
 
 
 def linked_lines(docs: DataFrame, text: str = "text", edits: int = MAX_EDITS, least_chars: int = LEAST_CHARS, group_lines: int = GROUP_LINES) -> DataFrame:
-    """Edges (a, b) between the 64-bit hashes of different lines within ``edits``.
+    """Edges (a, b) that join the 64-bit hashes of all lines within ``edits`` of each other.
 
-    A pair within ``edits`` shares at least one of ``edits`` + 1 segments, so lines meet by the hash of a segment and
-    are then verified. Where a segment is common, the lines' remainders are parted by segments again, and
-    so on until a group is small or its remainders are too short to part: no pair is lost and no large group
-    is compared all with all before that.
+    A pair within ``edits`` shares at least one of ``edits`` + 1 segments, so lines meet by the hash of a segment and are
+    then verified where they meet; only verified links leave the task. A group with a very common segment is
+    compared in parts of bounded size by many tasks.
     """
     contested = materialize(_contested(line_signatures(docs, text, edits, least_chars)), "line-meetings")
     wanted = contested.select(F.col("line").alias("of")).distinct()
     each = docs.select(F.explode(_lines(F.col(f"`{text}`"))).alias("text")).withColumn("line", F.xxhash64("text"))
     texts = each.join(wanted, F.col("line") == F.col("of"), "left_semi").dropDuplicates(["line"]).select(F.col("line").alias("of"), "text")
-    texts = materialize(texts, "line-texts")
-    pairs = [_pairs(contested.where(F.col("n") <= group_lines))]
-    large = contested.where(F.col("n") > group_lines)
-    if not large.isEmpty():
-        rows = _rests(large, texts, edits)
-        while True:
-            groups = materialize(_contested(_parted(rows.where(F.length("rest") > 2 * (edits + 1)), edits)), "line-parts")
-            short = materialize(rows.where(F.length("rest") <= 2 * (edits + 1)), "line-short")
-            pairs.append(_pairs(short.withColumn("own", F.lit(True))))
-            pairs.append(_pairs(groups.where(F.col("n") <= group_lines)))
-            rows = groups.where(F.col("n") > group_lines).select("sig", "line", "rest")
-            if rows.isEmpty():
-                break
-    met = pairs[0]
-    for more in pairs[1:]:
-        met = met.union(more)
-    sides = [texts.select(F.col("of").alias(f"_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab"]
-    shown = met.distinct().join(sides[0], F.col("a") == F.col("_a")).join(sides[1], F.col("b") == F.col("_b"))
-
-    @F.arrow_udf("boolean")
-    def near(left: pa.Array, right: pa.Array) -> pa.Array:
-        return pa.array([within_edits(x, y, edits) for x, y in zip(left.to_pylist(), right.to_pylist())], pa.bool_())
-
-    return shown.select("a", "b", near("text_a", "text_b").alias("near")).where("near").select("a", "b")
+    shown = _rectangles(contested, group_lines).join(texts, F.col("line") == F.col("of")).drop("of")
+    return _compared(shown, edits)
 
 
 def repeated_lines(docs: DataFrame, edits: int = MAX_EDITS, least_chars: int = LEAST_CHARS, doc_id: str = "doc_id", text: str = "text", group_lines: int = GROUP_LINES) -> DataFrame:
