@@ -230,7 +230,9 @@ def linked_lines(docs: DataFrame, text: str = "text", edits: int = MAX_EDITS, le
     contested = materialize(_contested(line_signatures(docs, text, edits, least_chars)), "line-meetings")
     wanted = contested.select(F.col("line").alias("of")).distinct()
     each = docs.select(F.explode(_lines(F.col(f"`{text}`"))).alias("text")).withColumn("line", F.xxhash64("text"))
-    texts = each.join(wanted, F.col("line") == F.col("of"), "left_semi").dropDuplicates(["line"]).select(F.col("line").alias("of"), "text")
+    # Copies are combined before the exchange, so a very common line is one row of each task.
+    distinct = each.groupBy("line").agg(F.min("text").alias("text"))
+    texts = distinct.join(wanted, F.col("line") == F.col("of"), "left_semi").select(F.col("line").alias("of"), "text")
     shown = _rectangles(contested, group_lines).join(texts, F.col("line") == F.col("of")).drop("of")
     return _compared(shown, edits)
 
