@@ -29,6 +29,7 @@ MOST_LANGUAGES = 512
 LEAST_SCORE = 0.34
 MEMO_WORDS = 300_000
 MEMO_CHARS = 64
+WORDS_AT_ONCE = 4096
 CHAIN = 64  # words per block of the forward-backward scan
 BATCH_CHARS = 2 << 20
 
@@ -118,12 +119,13 @@ class CrfModel:
     start: np.ndarray
 
     def word_scores(self, words: Sequence[str]) -> np.ndarray:
-        """Summed feature weights of each word."""
-        features = [word_features(w, self.lexicon) for w in words]
-        if not features:
-            return np.zeros((0, len(self.labels)))
-        starts = np.cumsum([0, *map(len, features[:-1])])
-        return np.add.reduceat(self.emission[np.concatenate(features)], starts, axis=0)
+        """Summed feature weights of each word; features of few words at a time, as they take much memory."""
+        parts = [np.zeros((0, len(self.labels)))]
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            features = [word_features(w, self.lexicon) for w in words[at : at + WORDS_AT_ONCE]]
+            starts = np.cumsum([0, *map(len, features[:-1])])
+            parts.append(np.add.reduceat(self.emission[np.concatenate(features)], starts, axis=0))
+        return np.vstack(parts)
 
 
 def _sequences(stretches: list[tuple[int, list[str]]], labels: int, rng) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -288,10 +290,11 @@ def label_documents(text: Column, model: CrfModel) -> Column:
     The words' posteriors are added up; the language with the largest sum wins and its share is the score.
     A text that is null or has no letter is ``und`` with score 0.
     """
-    from wicketworks.llm.pieces import batches_by_bytes
+    from wicketworks.llm.pieces import batches_by_bytes, encoder
 
     @F.arrow_udf("struct<lang_pred:string,score:double,n_words:bigint,n_switches:bigint>")
     def labelled(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder.cache_clear()  # what another operator remembered in this worker would stay beside this one's memo
         tagger = _Tagger(model)
         for part in parts:
             names: list[str] = []

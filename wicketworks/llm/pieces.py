@@ -115,7 +115,7 @@ def batches_by_bytes(texts: Sequence[str | None], most: int) -> Iterator[list[st
         yield run
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def encoder(path: str, kind: str) -> PieceEncoder:
     """The worker's encoder: ``count`` keeps numbers of ids, ``words`` and ``spaced`` 32-bit ids, ``short`` 16-bit ids."""
     import os
