@@ -2,6 +2,7 @@
 
 import zlib
 from functools import lru_cache
+from unicodedata import normalize
 
 import numpy as np
 import public_tokenizers
@@ -33,6 +34,30 @@ def test_pieces_give_the_ids_of_whole_texts(path, kind, texts):
     assert got == want
 
 
+# Letters that NFC or lower-casing turns into a letter and a mark.
+SPLIT = [c for c in map(chr, range(0x110000)) if c.isalpha() and len(normalize("NFC", normalize("NFC", c).lower())) > 1]
+
+
+@pytest.mark.parametrize("path,kind", [(BYTES, "spaced"), (WORDS, "words")])
+def test_closing_punctuation_behind_any_letter(path, kind):
+    """Every letter with every closing mark, alone and behind another letter; each in a fresh memo."""
+    assert len(SPLIT) >= 60
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha() and (ord(c) < 0x3400 or 0xA000 <= ord(c) < 0xAC00 or 0xD7A4 <= ord(c) < 0x20000)]
+    texts = [c + p for c in letters for p in ".,;:!?"] + [f"a{c}{p} b" for c in SPLIT for p in (".", "?!")]
+    want = [e.ids for e in whole(path).encode_batch(texts, add_special_tokens=False)]
+    got = [np.frombuffer(b"".join(v), "<u4").tolist() for v in pieces.encoder(path, kind).encode(texts)]
+    assert [t for t, x, y in zip(texts, got, want) if x != y] == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*SPLIT, *"aσ \u0301.,;:!?'"]), max_size=20).map("".join), max_size=4))
+@pytest.mark.parametrize("path,kind", [(BYTES, "spaced"), (WORDS, "words")])
+def test_pieces_of_split_letters(path, kind, texts):
+    want = [e.ids for e in whole(path).encode_batch(texts, add_special_tokens=False)]
+    got = [np.frombuffer(b"".join(v), "<u4").tolist() for v in pieces.encoder(path, kind).encode(texts)]
+    assert got == want
+
+
 def test_memo_is_bounded_and_changes_nothing(monkeypatch):
     monkeypatch.setattr(pieces, "MEMO_PIECES", 3)
     one = pieces.PieceEncoder(BYTES, pieces.spaced_pieces, len)

@@ -14,6 +14,7 @@ from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from operator import attrgetter
+from unicodedata import normalize
 
 # Entries of a worker's memo, and the longest piece kept there: at most some 150 MB.
 MEMO_PIECES = 600_000
@@ -28,6 +29,13 @@ _WORDS = re.compile(r"[\S\x1c-\x1f]+")
 _CLOSING = ".,;:!?"
 
 
+@lru_cache(maxsize=1 << 14)
+def _stays_letter(c: str) -> bool:
+    """Whether a letter is one letter still after NFC and lower-casing, so that no mark of it joins punctuation behind it."""
+    plain = c if c.isascii() else normalize("NFC", normalize("NFC", c).lower())
+    return len(plain) == 1 and plain.isalpha()
+
+
 def spaced_pieces(text: str) -> list[str]:
     """Cut before every run of white space: right for tokenizers that keep white space.
 
@@ -69,9 +77,9 @@ class PieceEncoder:
         self.memo = _Memo()
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode the pieces; closing punctuation behind a letter is a token run of its own."""
+        """Encode the pieces; closing punctuation behind a letter that normalizers keep is a token run of its own."""
         cores = [p.rstrip(_CLOSING) for p in pieces]
-        heads = [c if len(c) < len(p) and c and c[-1].isalpha() else p for p, c in zip(pieces, cores)]
+        heads = [c if len(c) < len(p) and c and _stays_letter(c[-1]) else p for p, c in zip(pieces, cores)]
         memo = self.memo
         tails = {p[len(h) :] for p, h in zip(pieces, heads) if h is not p}
         fresh = [x for x in {*heads, *tails} if memo.get(x) is None]
