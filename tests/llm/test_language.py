@@ -77,3 +77,21 @@ def test_memo_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(language, "MEMO_WORDS", 1)
     assert np.allclose(np.vstack([tagger.posteriors([t])[0] for t in texts if t]), want)
     assert spark.createDataFrame([(t,) for t in texts], "text string").select(label_documents(F.col("text"), model)).count() == 8
+
+
+def test_documents_stay_when_there_are_no_labels(spark):
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(["some words", "語", "12 34", "", None])], SCHEMA)
+    assert sorted(r.doc_id for r in keep_identified(docs).collect()) == [0, 1]
+
+
+def test_texts_in_all_languages_at_once_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang IS NOT NULL")
+    by_lang = {}
+    for r in docs.where("n_chars > 300").orderBy("doc_id").collect():
+        by_lang.setdefault(r.lang, r.text.split()[:40])
+    assert len(by_lang) >= 3
+    mixed = " ".join(w for words in by_lang.values() for w in words)
+    both = docs.unionByName(spark.createDataFrame([(10**9, mixed, None, None, None)], docs.schema))
+    label = {r.doc_id: r for r in identify_languages(both).collect()}[10**9]
+    assert label.score < 0.34
+    assert both.schema == docs.schema and 10**9 in {r.doc_id for r in keep_identified(both).collect()}

@@ -323,6 +323,31 @@ def label_documents(text: Column, model: CrfModel) -> Column:
     return labelled(text)
 
 
+def word_confidence(text: Column, model: CrfModel) -> Column:
+    """Mean over a text's words of the posterior of each word's best language, in whichever languages; null without a letter.
+
+    With no language to tell, every text with a letter has 1.
+    """
+    from wicketworks.llm.pieces import batches_by_bytes, encoder
+
+    @F.arrow_udf("double")
+    def judged(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder.cache_clear()  # what another operator remembered in this worker would stay beside this one's memo
+        tagger = _Tagger(model)
+        for part in parts:
+            sure: list[float | None] = []
+            for batch in batches_by_bytes(part.to_pylist(), BATCH_CHARS):
+                if not model.labels:
+                    sure += [1.0 if any(map(str.isalpha, t or "")) else None for t in batch]
+                    continue
+                post, counts, _ = tagger.posteriors(batch)
+                best = post.max(1)
+                sure += [float(best[end - n : end].mean()) if n else None for n, end in zip(counts.tolist(), np.cumsum(counts).tolist())]
+            yield pa.array(sure, pa.float64())
+
+    return judged(text)
+
+
 def language_spans(text: Column, model: CrfModel) -> Column:
     """Runs of words of one language: array of (first token, last token, lang, mean posterior); tokens are split at white space."""
     from wicketworks.llm.pieces import batches_by_bytes
@@ -372,9 +397,11 @@ def identify_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 def keep_identified(
     docs: DataFrame, least_score: float = LEAST_SCORE, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", seed: int = 0
 ) -> DataFrame:
-    """The documents that have a language: those without a letter and those without a main language go."""
+    """The documents in a language or several: those without a letter and those whose words are told with low confidence go.
+
+    With no label to learn from every document with a letter stays.
+    """
     key = F.col(f"`{doc_id}`")
     model = fit(training_stretches(docs.where(key.isNotNull() & ~held_out(key)), lang, key, text), seed)
-    labelled = docs.withColumn("_label", label_documents(F.col(f"`{text}`"), model))
-    found = (F.col("_label.lang_pred") != UNKNOWN) & (F.col("_label.score") >= least_score)
-    return labelled.where(found).select(*[F.col(f"`{c}`") for c in docs.columns])
+    judged = docs.withColumn("_sure", word_confidence(F.col(f"`{text}`"), model))
+    return judged.where(F.col("_sure") >= least_score).select(*[F.col(f"`{c}`") for c in docs.columns])
