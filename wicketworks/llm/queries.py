@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wicketworks.llm.divergence import source_divergence
 from wicketworks.llm.grid_join import near_vectors
 from wicketworks.llm.language import identify_languages
 from wicketworks.llm.line_dedup import dedup_lines
 from wicketworks.llm.mixing import mix
 from wicketworks.llm.packing import pack
 from wicketworks.llm.registry import ORACLES, QUERIES, query, table, tokenizer
+from wicketworks.llm.reply_trees import format_chains, read_back
 from wicketworks.llm.sharding import shard_by_bytes
 from wicketworks.llm.simhash import hex_fingerprint, near_duplicates
+from wicketworks.llm.spelling import spelling_variants
 from wicketworks.llm.token_counts import count_tokens
 from wicketworks.llm.topk import top_k
 from wicketworks.llm.training_order import write_training_order
@@ -139,3 +142,88 @@ FROM least LEFT JOIN counts ON vec_id = a
 )
 def _(spark, directory):
     return near_vectors(table(spark, directory, "embeddings"))
+
+
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS raw_role, text AS raw_text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]', 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]', 'assistant', '</s>[INST] ok [/INST]'
+), written AS (
+  SELECT *, md5('0:' || coalesce(raw_text, 'null'))[1:15] AS h, '<|im_start|>' || url_encode(role) || chr(10) ||
+    regexp_replace(regexp_replace(replace(text, '\', '\\'),
+      '<(\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|<SYS>>|</SYS>>)', '<\\\1', 'g'), '\[(INST\]|/INST\])', '[\\\1', 'g')
+    || '<|im_end|>' || chr(10) AS formatted
+  FROM turns
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, raw_role NULLS FIRST, h)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, raw_role NULLS FIRST, h) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(formatted))::BIGINT AS formatted_chars
+FROM written GROUP BY conv_id
+"""
+
+
+@query("op11_reply_trees", CHAT_SQL)
+def _(spark, directory):
+    rows = table(spark, directory, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
+    back = read_back(format_chains(rows.unionByName(planted), "conv_id", "turn"))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss_texts", "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("text").cast("long").alias("formatted_chars"),
+    )
+
+
+@query("op12_spelling_variants")
+def _(spark, directory):
+    return spelling_variants(table(spark, directory, "documents"))
+
+
+DIVERGENCE_SQL = r"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), groups AS (SELECT DISTINCT lang, source FROM docs),
+uses AS (
+  SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(terms) AS term FROM docs) AS d GROUP BY ALL
+), kept AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM docs) AS d GROUP BY ALL HAVING count(*) >= 3
+), langs AS (
+  SELECT k.lang, k.term, sum(u.n)::HUGEINT AS n FROM kept k JOIN uses u ON k.lang = u.lang AND k.term = u.term GROUP BY ALL
+), lang_sizes AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM langs GROUP BY lang),
+cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(u.n, 0)::HUGEINT AS n
+  FROM groups g JOIN kept k ON g.lang = k.lang LEFT JOIN uses u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term
+), probable AS (
+  SELECT c.*, (1 + (1000000000::HUGEINT * (c.n + 1)) // (sum(c.n) OVER (PARTITION BY c.lang, c.source)::HUGEINT + s.v)) AS p
+  FROM cells c JOIN lang_sizes s ON c.lang = s.lang
+), pairs AS (
+  SELECT g.lang, g.source, o.source AS item FROM groups g JOIN groups o ON g.lang = o.lang AND g.source <> o.source
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM probable a JOIN probable b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), valued AS (
+  SELECT p.lang, p.source, 'pair' AS part, p.item, coalesce(s.value, 0)::BIGINT AS value
+  FROM pairs p LEFT JOIN sums s ON p.lang = s.lang AND p.source = s.source AND p.item = s.item
+  UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT
+  FROM (SELECT c.*, (1 + (1000000000::HUGEINT * (l.n + 1)) // (s.total + s.v)) AS q
+        FROM probable c JOIN langs l ON c.lang = l.lang AND c.term = l.term JOIN lang_sizes s ON c.lang = s.lang) AS x
+  WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value,
+       (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM valued QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
+@query("op13_source_divergence", DIVERGENCE_SQL)
+def _(spark, directory):
+    return source_divergence(table(spark, directory, "documents"))
