@@ -10,8 +10,10 @@ from wicketworks.catalog.registry import query, rounded
 from wicketworks.catalog.sources import customer_archives, info_texts, split_sql
 from wicketworks.operators import metrics, samples
 from wicketworks.operators.modeling import load_model, save_model, score
+from wicketworks.operators.skew import BOUNDED
 from wicketworks.plans import batch, landing, match_files, merge, modeling, season_stats
 from wicketworks.session import materialize, scratch_path
+from wicketworks.sources.layers import Watch, store, write_bucketed
 from wicketworks.sources.match_info import split_text
 
 _DELIVERIES = f"({P.DELIVERIES})"
@@ -254,10 +256,17 @@ def combined_sql(maidens=False):
         JOIN ({FIELD_SQL}) AS f {_ON_KEYS.format(a='b', b='f')}"""
 
 
+def _stored_seasons(t):
+    """The season rows of the players, stored once for all three disciplines, and the size of their groups."""
+    watch = Watch("player seasons")
+    layer = store(watch.over(_seasons(t)), "player-seasons", [watch])
+    return layer.frame, {"check_rows": False, "group_rows": season_stats.player_groups(layer.frame, layer.rows)}
+
+
 def _players(t):
-    raw = _seasons(t)
+    raw, known = _stored_seasons(t)
     return season_stats.combine_players(
-        season_stats.batting(raw), season_stats.bowling(raw), season_stats.fielding(raw)
+        season_stats.batting(raw, **known), season_stats.bowling(raw, **known), season_stats.fielding(raw, **known)
     )
 
 
@@ -273,9 +282,10 @@ def _(t):
         ON p."Player" = r.player AND p."Country" = r.country AND p."Season" = r.season""",
 )
 def _(t):
-    raw = _seasons(t)
-    bowl = season_stats.bowling(raw, maidens=True)
-    return season_stats.combine_rostered(season_stats.batting(raw), bowl, season_stats.fielding(raw), t.sql(P.ROSTER))
+    raw, known = _stored_seasons(t)
+    bowl = season_stats.bowling(raw, maidens=True, **known)
+    bat, field = season_stats.batting(raw, **known), season_stats.fielding(raw, **known)
+    return season_stats.combine_rostered(bat, bowl, field, t.sql(P.ROSTER))
 
 
 def balls_sql(matches=_MATCHES, run_columns=merge.ALL_RUN_COLUMNS, label="batting", bonus=0):
@@ -374,18 +384,30 @@ _KEYS3 = f"""SELECT match_id FROM ({match_teams_sql()}) AS a INTERSECT SELECT ma
 
 
 def _merged(t):
-    """The merged layer as stored tables, as the batch leaves it: teams, balls, players."""
-    player_rows = merge.match_players(t.sql(P.ROSTER), _players(t))
+    """The merged layer as the batch leaves it: teams, balls, players, bucketed by match."""
+    seen = Watch("team seasons")
+    seasons = store(seen.over(t.sql(P.TEAM_SEASONS)), "team-seasons", [seen], ["Team"])
+    teams = season_stats.teams(seasons.frame, check_rows=False, group_rows=seasons.group_rows)
+    players = merge.match_players(t.sql(P.ROSTER), _players(t))
+
+    def bucketed(df, name, **options):
+        return write_bucketed(df, scratch_path(t.spark, name), ["match_id"], **options)
+
+    watch = Watch("deliveries")
+    cleaned_balls = match_files.clean_deliveries(watch.over(t.sql(P.DELIVERIES)), narrow=True, check_rows=False)
+    deliveries = bucketed(cleaned_balls, "deliveries", guards=[watch])
+    near = deliveries.group_rows >= BOUNDED
+    balls = merge.ball_by_ball(deliveries.frame, t.sql(P.MATCHES), group_rows=deliveries.group_rows, co_located=near)
     return [
-        materialize(_match_teams(t), "team_stats"),
-        materialize(_balls(t), "ball_by_ball"),
-        materialize(player_rows, "players_stats"),
+        bucketed(merge.match_teams(t.sql(P.MATCHES), teams), "team_stats"),
+        bucketed(balls, "ball_by_ball", order=["innings", "ball"], in_place=near),
+        bucketed(players, "players_stats"),
     ]
 
 
 def _common(t, **options):
-    """Keys and rows come from the stored layer: three scans, whatever it took to make the layer."""
-    return merge.common_matches(*_merged(t), **options)
+    """Keys and rows come from the stored layer: three scans that meet where they lie."""
+    return merge.common_matches(*[layer.frame for layer in _merged(t)], co_located=True, **options)
 
 
 @query("c12_common_team_rows", f"SELECT * FROM ({match_teams_sql()}) AS q WHERE match_id IN ({_KEYS3})")
@@ -422,7 +444,8 @@ def samples_sql(drop):
 
 def _samples(t, **options):
     teams, balls, players = _merged(t)
-    return modeling.match_samples(balls, teams, players, **options)
+    limit = min(balls.group_rows, players.group_rows)
+    return modeling.match_samples(balls.frame, teams.frame, players.frame, group_rows=limit, **options)
 
 
 def _summary(df):

@@ -22,7 +22,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in NAMES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        # Kept, so that a query looks up the schema of a table once.
+        self.__dict__[name] = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        return self.__dict__[name]
 
     def sql(self, text: str) -> DataFrame:
         used = {n: getattr(self, n) for n in NAMES if f"{{{n}}}" in text}

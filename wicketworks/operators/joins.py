@@ -78,12 +78,16 @@ def union_all(tables: Sequence[DataFrame]) -> DataFrame:
 
 
 def restrict_to_common(
-    tables: Sequence[DataFrame], key: str, materialize_keys: bool = False
+    tables: Sequence[DataFrame], key: str, materialize_keys: bool = False, co_located: bool = False
 ) -> list[DataFrame]:
     """Each table limited to the keys all of them share.
 
-    With ``materialize_keys`` the key set is written once instead of being derived per table.
+    With ``materialize_keys`` the key set is written once instead of being derived per table. ``co_located`` tables are
+    bucketed by the key: each one meets the keys of the others where it lies, without a key set and without an exchange.
     """
+    if co_located:
+        keyed = [t.select(key).distinct() for t in tables]
+        return [reduce(lambda t, k: semi(t, k, key), keyed[:i] + keyed[i + 1 :], t) for i, t in enumerate(tables)]
     keys = common_keys(tables, key)
     if materialize_keys:
         keys = materialize(keys, "common-keys")

@@ -54,18 +54,22 @@ def build_samples(
     heads = balls.groupBy(key).agg(
         F.min_by(label, F.struct(*ball_order)).alias("label"),
         F.greatest(F.count(F.lit(1)) - drop_last, F.lit(0)).alias("n_balls"),
+        F.count(F.lit(1)).alias("_n_rows"),
     )
     vector = F.array(*[F.col(f"`{f}`").cast("double") for f in team_features])
-    heads = align([heads, teams.select(key, vector.alias("team")), players.select(key).distinct()], key)
+    sizes = players.groupBy(key).agg(F.count(F.lit(1)).alias("_n_players"))
+    heads = align([heads, teams.select(key, vector.alias("team")), sizes], key)
+    last = F.floor((F.greatest("_n_rows", "_n_players") - 1) / chunk_rows).cast("int")
+    heads = heads.withColumn("chunk", F.explode(F.sequence(F.lit(0), last)))
 
     ball_seq = sequences(balls, [key], ball_order, ball_features, chunk_rows, group_rows)
     player_seq = sequences(players, [key], player_order, player_features, chunk_rows, group_rows)
-    bodies = ball_seq.select(key, "chunk", F.col("rows").alias("balls")).join(
-        player_seq.select(key, "chunk", F.col("rows").alias("players")), [key, "chunk"], "full_outer"
-    )
+    # Left joins from the keys, not a full join, which would forget where the rows of bucketed tables lie.
+    bodies = heads.join(ball_seq.select(key, "chunk", F.col("rows").alias("balls")), [key, "chunk"], "left")
+    bodies = bodies.join(player_seq.select(key, "chunk", F.col("rows").alias("players")), [key, "chunk"], "left")
     empty = F.array().cast("array<array<double>>")
     left = F.col("n_balls") - F.col("chunk") * chunk_rows
-    samples = heads.join(bodies, key).select(
+    samples = bodies.select(
         key,
         "chunk",
         (F.col("chunk") * chunk_rows).alias("start"),

@@ -18,6 +18,8 @@ from wicketworks.session import materialize
 
 # Rows of one group that a single task may be asked to sort.
 GROUP_ROWS = 1_000_000
+# Given as ``group_rows`` where every group is known to fit into a task, so that no operator looks again.
+BOUNDED = 2**62
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -36,12 +38,29 @@ def hot_keys(df: DataFrame, keys: Sequence[str], group_rows: int) -> DataFrame:
     return sizes.where(F.col("_rows") > group_rows).drop("_rows")
 
 
+def group_limit(df: DataFrame, keys: Sequence[str], rows: int | None = None, group_rows: int | None = None) -> int:
+    """``BOUNDED`` if every group of a stored table fits into a task, else the limit above which it does not.
+
+    One look for all operators that work on these groups; and none if the table's ``rows``, counted when it was written, are
+    too few for any group to exceed the limit.
+    """
+    limit = GROUP_ROWS if group_rows is None else group_rows
+    if rows is not None and rows <= limit:
+        return BOUNDED
+    if not keys or not hot_keys(df, keys, limit).isEmpty():
+        return limit
+    return BOUNDED
+
+
 def split_hot(
     df: DataFrame, keys: Sequence[str], group_rows: int | None = None
 ) -> tuple[DataFrame | None, DataFrame | None]:
-    """Rows of bounded groups and rows of hot groups; ``None`` for an absent part."""
+    """Rows of bounded groups and rows of hot groups; ``None`` for an absent part. ``BOUNDED`` takes no look."""
     limit = GROUP_ROWS if group_rows is None else group_rows
-    if not keys:
+    if limit >= BOUNDED and keys:
+        return df, None
+    if not keys:  # a whole table is no group that anyone has looked at
+        limit = GROUP_ROWS if limit >= BOUNDED else limit
         return (None, df) if df.count() > limit else (df, None)
     hot = hot_keys(df, keys, limit)
     if hot.isEmpty():

@@ -40,15 +40,16 @@ TEAM_MEASURES = [
 _TOTALS = {"curr_score": "runs", "curr_wickets": "wickets"}
 
 
-def score_balls(balls: DataFrame, group_rows: int | None = None) -> DataFrame:
+def score_balls(balls: DataFrame, group_rows: int | None = None, co_located: bool = False) -> DataFrame:
     """Running score and wickets per innings, and the first-innings total of the match.
 
-    Matches of ordinary size: one exchange and one sort on match_id serve both windows.
+    Matches of ordinary size: one exchange and one sort on match_id serve both windows; no exchange if
+    ``co_located``, for balls of a layer bucketed by match.
     Oversized matches: totals over distinct balls with map-side combine, joined back to the rows.
     """
     bounded, hot = split_hot(balls, ["match_id"], group_rows)
     innings = W.partitionBy("match_id", "innings").orderBy("ball").rangeBetween(W.unboundedPreceding, 0)
-    scored = bounded.repartition("match_id").withColumns(
+    scored = (bounded if co_located else bounded.repartition("match_id")).withColumns(
         {name: F.sum(source).over(innings) for name, source in _TOTALS.items()}
     )
     match = W.partitionBy("match_id")
@@ -67,12 +68,13 @@ def ball_by_ball(
     label: str = "batting",
     target_bonus: int = 0,
     group_rows: int | None = None,
+    co_located: bool = False,
 ) -> DataFrame:
     """Ball table with running score, rates, target and label.
 
     ``label`` is "batting" (1 where the side batting on the row wins) or "chasing" (1 on all
     rows of a match won by the side batting second). ``target_bonus`` is added to the
-    first-innings total to give the target.
+    first-innings total to give the target. ``co_located`` deliveries are bucketed by match.
     """
     balls = deliveries.select(
         "match_id",
@@ -83,7 +85,7 @@ def ball_by_ball(
         null_safe_sum(*run_columns).alias("runs"),
         null_safe_sum("player_dismissed", "other_player_dismissed").alias("wickets"),
     )
-    scored = inner_on(score_balls(balls, group_rows), matches.select("match_id", "winner"), "match_id")
+    scored = inner_on(score_balls(balls, group_rows, co_located), matches.select("match_id", "winner"), "match_id")
     won = (
         won_by_batting_side("batting_team", "winner")
         if label == "batting"
@@ -146,11 +148,16 @@ def match_players(roster: DataFrame, player_stats: DataFrame, require_full_roste
 
 
 def common_matches(
-    teams: DataFrame, balls: DataFrame, players: DataFrame, with_overs: bool = True, materialize_keys: bool = False
+    teams: DataFrame,
+    balls: DataFrame,
+    players: DataFrame,
+    with_overs: bool = True,
+    materialize_keys: bool = False,
+    co_located: bool = False,
 ) -> list[DataFrame]:
-    """The three tables limited to the matches all of them have."""
+    """The three tables limited to the matches all of them have; ``co_located`` ones are bucketed by match."""
     columns = [c for c in BALL_COLUMNS if with_overs or c != "overs"]
-    return restrict_to_common([teams, balls.select(*columns), players], "match_id", materialize_keys)
+    return restrict_to_common([teams, balls.select(*columns), players], "match_id", materialize_keys, co_located)
 
 
 def chase_target(

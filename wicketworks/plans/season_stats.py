@@ -10,7 +10,8 @@ from wicketworks.functions.cleaning import dash_to_ratio, dash_to_zero, ratio_or
 from wicketworks.functions.text import label_country, label_id, label_name
 from wicketworks.lookups import COUNTRY_CODES
 from wicketworks.operators.joins import chain_inner, inner_on
-from wicketworks.operators.rows import lookup_table, require_columns, require_rows
+from wicketworks.operators.rows import require_columns, require_rows
+from wicketworks.operators.skew import group_limit
 from wicketworks.operators.windows import Ratio, Weighted, exclusive_cumulative
 
 KEYS = ["Player", "Country", "Season"]
@@ -35,8 +36,8 @@ def _cumulative(df, sums, means=None, ratios=None, codes=None, group_rows=None)
     )
     name = "Country"
     if codes is not None:
-        table = lookup_table(df.sparkSession, codes, "_code", "_name")
-        labelled = labelled.join(F.broadcast(table), F.col("Country") == F.col("_code"))
+        named = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
+        labelled = labelled.withColumn("_name", F.try_element_at(named, F.col("Country"))).where(F.col("_name").isNotNull())
         name = "_name"
     measured = [*sums.values(), *(m.value for m in (means or {}).values())]
     tiebreak = ["player_id", *dict.fromkeys(measured)]
@@ -157,6 +158,12 @@ def teams(
     return result.select("Team", "Season", *sums, *ratios, *means)
 
 
+def player_groups(raw: DataFrame, rows: int | None = None, group_rows: int | None = None) -> int:
+    """What batting, bowling and fielding over the stored ``raw`` take as ``group_rows``: one look for all three."""
+    keyed = raw.select(label_name("Player").alias("_name"), label_country("Player").alias("_country"))
+    return group_limit(keyed, ["_name", "_country"], rows, group_rows)
+
+
 def combine_players(bat: DataFrame, bowl: DataFrame, field: DataFrame) -> DataFrame:
     """One row per player and season with the 11 measures of all three disciplines."""
     renamed = bowl.withColumnRenamed("Cumulative Runs", "Cumulative Bowling Runs")
