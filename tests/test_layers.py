@@ -108,3 +108,14 @@ def test_known_sizes_need_no_look(spark):
     assert group_limit(df, ["k"], rows=50) == BOUNDED
     assert group_limit(df, ["k"], group_rows=16) == 16 and group_limit(df, ["k"], group_rows=17) == BOUNDED
     assert split_hot(df, ["k"], BOUNDED) == (df, None)
+
+
+def test_a_fitted_model_scores_after_rows_were_observed(spark):
+    from wicketworks.operators import modeling as models
+
+    df = spark.range(40).select((F.col("id") % 2).cast("double").alias("a"), (F.col("id") % 4 > 1).cast("int").alias("label"))
+    watch = Watch("rows")
+    store(watch.over(df), "observed", [watch])
+    assert watch.rows == 40
+    assert models.score(models.baseline_classifier(["a"]).fit(df), df, ["label"]).count() == 40
+    assert len(models.score(models.baseline_classifier(["a"]).fit(df), df, ["label"]).collect()) == 40

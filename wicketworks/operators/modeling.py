@@ -47,9 +47,22 @@ def flatten_samples(
     )
 
 
+class _Classifier(Pipeline):
+    """A pipeline whose fitted classifier forgets its training summary.
+
+    The summary holds the session, and a session that has counted rows with an observation cannot be shipped to tasks; a
+    model that is sent out to score must not carry it.
+    """
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        model = super()._fit(dataset)
+        model.stages[-1]._java_obj.setSummary(dataset.sparkSession._jvm.scala.Option.empty())
+        return model
+
+
 def baseline_classifier(features: Sequence[str], label: str = "label", **params) -> Pipeline:
     """Standardised logistic regression over named numeric columns."""
-    return Pipeline(
+    return _Classifier(
         stages=[
             VectorAssembler(inputCols=list(features), outputCol="_assembled", handleInvalid="keep"),
             StandardScaler(inputCol="_assembled", outputCol="_scaled", withMean=True),
