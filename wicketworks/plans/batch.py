@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wicketworks.operators.skew import BOUNDED, group_limit
 from wicketworks.plans import match_files, merge, season_stats
+from wicketworks.sources.checked import read_match_files
 from wicketworks.sources.layers import Layer, Watch, write_bucketed, write_layer
-from wicketworks.sources.match_info import read_match_info
-from wicketworks.sources.tables import layer_path, read_deliveries, read_text_columns
+from wicketworks.sources.tables import layer_path, read_text_columns
 
 # Raw tables of the statistics pages and the directory of the match files.
 RAW_STATS = {
@@ -36,13 +36,14 @@ class RawTables(NamedTuple):
     bowling: DataFrame
     fielding: DataFrame
     team: DataFrame
+    rejected: DataFrame | None = None
 
 
 def read_raw(spark: SparkSession, base: str) -> RawTables:
-    """The raw layer below ``base``."""
-    files = layer_path(base, "raw", MATCH_FILES)
+    """The raw layer below ``base``; lines of match files that are broken are kept apart."""
+    files = read_match_files(spark, layer_path(base, "raw", MATCH_FILES))
     stats = {k: read_text_columns(spark, layer_path(base, "raw", name)) for k, name in RAW_STATS.items()}
-    return RawTables(read_match_info(spark, files), read_deliveries(spark, files), **stats)
+    return RawTables(files.info_lines, files.deliveries, **stats, rejected=files.rejected)
 
 
 def process(raw: RawTables, base: str, buckets: int | None = None) -> dict[str, DataFrame]:
@@ -62,6 +63,8 @@ def process(raw: RawTables, base: str, buckets: int | None = None) -> dict[str,
         watch = Watch(table)
         return stored("processed", table, make(watch.over(rows), check_rows=False, group_rows=_season_groups(rows)), [watch]).frame
 
+    if raw.rejected is not None:
+        stored("processed", "rejected_lines", raw.rejected)
     lines = stored("processed", "match_info", raw.info_lines).frame
     matches = stored("processed", "matches", match_files.matches_from_info(lines).accepted).frame
     rosters = match_files.rosters_from_info(lines)
