@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wicketworks.operators.windows import row_numbers
 from wicketworks.session import materialize
 
 SCALE = 1_000_000_000
@@ -96,14 +95,14 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
 
 def probability(count: Column, total: Column, terms: Column) -> Column:
-    """1 + floor(SCALE * (count + 1) / (total + terms)) as a long, exact for any counts; null without terms."""
-    share = F.lit(SCALE).cast("decimal(10,0)") * (count + 1).cast("decimal(20,0)")
-    return 1 + F.floor(_quotient(share, (total + terms).cast("decimal(20,0)")))
+    """1 + floor(SCALE * (count + 1) / (total + terms)) as a long, exact for any counts; null without terms.
 
-
-def _quotient(a: Column, b: Column) -> Column:
-    """The whole part of a / b for decimals, as a long; null where b is 0."""
-    return F.call_function("div", a, F.nullif(b, F.lit(0).cast("decimal(20,0)")))
+    In 64 bits where the product fits, else in decimals.
+    """
+    size = F.nullif(total + terms, F.lit(0).cast("long"))
+    short = F.call_function("div", F.lit(SCALE).cast("long") * (count + 1), size)
+    wide = F.call_function("div", F.lit(SCALE).cast("decimal(10,0)") * (count + 1).cast("decimal(20,0)"), size.cast("decimal(20,0)"))
+    return 1 + F.when(count < 2**63 // SCALE - 1, short).otherwise(wide)
 
 
 def gain(p: Column, q: Column) -> Column:
@@ -112,12 +111,12 @@ def gain(p: Column, q: Column) -> Column:
 
 
 def count_bitmaps(counts: DataFrame) -> DataFrame:
-    """(lang, source, n, block, bits): bitsets of the terms (numbered from 1 in ``term_no``) with count ``n`` > 0.
+    """(lang, source, n, block, bits): bitsets of the terms (numbered from 0 in ``term_no``) with count ``n`` > 0.
 
     Only words with a bit are kept. Numbers run by falling count, so the many rare terms share blocks of few counts.
     """
-    block = F.floor((F.col("term_no") - 1) / WORD)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), ((F.col("term_no") - 1) % WORD).cast("int"))
+    block = F.floor(F.col("term_no") / WORD)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("term_no") % WORD).cast("int"))
     return counts.where("n > 0").groupBy("lang", block.alias("block"), "source", "n").agg(F.bit_or(bit).alias("bits"))
 
 
@@ -146,8 +145,10 @@ def source_divergence(docs: DataFrame, least_docs: int = 3, top: int = 200) -> D
     counts = materialize(term_counts(docs), "term-counts")
     groups = counts.where("term = ''").select("lang", "source")
     kept = counts.where("term <> ''").groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("n_docs").alias("n_docs"))
-    kept = kept.where(F.col("n_docs") >= least_docs).select("lang", "term", "lang_n", (-F.col("lang_n")).alias("_less"))
-    kept = materialize(row_numbers(materialize(kept, "kept-terms"), ["lang"], ["_less", "term"], "term_no").drop("_less"), "terms")
+    kept = kept.where(F.col("n_docs") >= least_docs).select("lang", "term", "lang_n")
+    # Numbered in order of language and falling count, over as many tasks as there are; gaps between them do no harm.
+    order = ["lang", F.col("lang_n").desc(), "term"]
+    kept = materialize(kept.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("term_no", F.monotonically_increasing_id()), "terms")
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
     used = materialize(counts.join(kept, ["lang", "term"]), "used-terms")
     totals = used.groupBy("lang", "source").agg(F.sum("n").alias("total"))
@@ -175,13 +176,19 @@ def _pairs(used: DataFrame, sized: DataFrame) -> DataFrame:
         return probability(F.lit(0).cast("long") if count is None else F.col(count), F.col("other_total"), F.col("v"))
 
     def total(value: Column) -> Column:
-        return F.sum((F.col("terms") * 1).cast("decimal(19,0)") * value.cast("decimal(19,0)"))
+        """Terms times value, summed exactly: in 64 bits for values that cannot exceed them over any terms, else in decimals."""
+        small = F.abs(value) <= SCALE
+        low = F.coalesce(F.sum(F.when(small, F.col("terms") * value)), F.lit(0)).cast("decimal(38,0)")
+        high = F.sum(F.when(~small, F.col("terms").cast("decimal(19,0)") * value.cast("decimal(19,0)")))
+        return low + F.coalesce(high, F.lit(0).cast("decimal(38,0)"))
 
     keys = ["lang", "source", "other"]
     # A joint cell takes its terms out of the cells (n, 0) and (0, m), which are filled below, and once too often out of (0, 0).
-    joint = cells.unionByName(turned).join(pairs, keys).groupBy(*keys).agg(
-        total(gain(p("n"), q("m")) - gain(p("n"), q(None)) - gain(p(None), q("m")) + gain(p(None), q(None))).alias("value")
+    joint = cells.unionByName(turned).join(pairs, keys).select(
+        *keys, "terms", p("n").alias("p"), q("m").alias("q"), p(None).alias("p0"), q(None).alias("q0")
     )
+    p1, q1, p0, q0 = (F.col(c) for c in ("p", "q", "p0", "q0"))
+    joint = joint.groupBy(*keys).agg(total(gain(p1, q1) - gain(p1, q0) - gain(p0, q1) + gain(p0, q0)).alias("value"))
     levels = bitmaps.groupBy("lang", "source", "n").agg(F.sum(F.bit_count("bits").cast("long")).alias("terms"))
     alone = levels.join(pairs, ["lang", "source"]).groupBy(*keys).agg(total(gain(p("n"), q(None)) - gain(p(None), q(None))).alias("value"))
     others = levels.toDF("lang", "other", "m", "terms").join(pairs, ["lang", "other"]).groupBy(*keys).agg(
