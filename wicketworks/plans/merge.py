@@ -104,20 +104,25 @@ def ball_by_ball(
     )
 
 
-def match_teams(matches: DataFrame, teams: DataFrame, map_before_filter: bool = False) -> DataFrame:
+def match_teams(
+    matches: DataFrame, teams: DataFrame, map_before_filter: bool = False, winners: DataFrame | None = None
+) -> DataFrame:
     """One row per match: gender code and the earlier results of both sides.
 
     Only teams named alike on both sides take part: present in the statistics and winner of
     some match. With ``map_before_filter`` short names are mapped first, so they can match.
+    ``winners`` has the winner of every match where ``matches`` are only some of them.
     """
     named = ["team1", "team2", "winner"]
 
     def mapped() -> tuple[DataFrame, DataFrame]:
         return replace_values(matches, TEAM_NAMES, named), replace_values(teams, TEAM_NAMES, ["Team"])
 
+    won = matches if winners is None else winners
     if map_before_filter:
         matches, teams = mapped()
-    winners = matches.where(F.col("winner").isNotNull()).select(F.col("winner").alias("Team")).distinct()
+        won = replace_values(won, TEAM_NAMES, ["winner"])
+    winners = won.where(F.col("winner").isNotNull()).select(F.col("winner").alias("Team")).distinct()
     teams = semi(teams, winners, "Team")
     # Matches with any other team drop out in the joins below.
     if not map_before_filter:
