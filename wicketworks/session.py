@@ -86,4 +86,16 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._scratch_path = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Remove tables that ``materialize`` wrote and that nothing reads any more."""
+    for df in written:
+        spark, path = df.sparkSession, df._scratch_path
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        if path in _SCRATCH:
+            _SCRATCH.remove(path)
