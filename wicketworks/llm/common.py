@@ -19,6 +19,17 @@ def keyed_hash(seed: int, *columns: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
+def release_memory() -> None:
+    """Give memory that a worker has freed back to the system, where its C library can."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges`` (a long, b long): ``node`` and ``root``, one row per node.
 

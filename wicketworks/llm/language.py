@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wicketworks.llm.common import release_memory
+
 UNKNOWN = "und"
 # The training sample: documents per language, stretches of a document and words of a stretch.
 SAMPLE_DOCS = 500
@@ -31,7 +33,7 @@ MEMO_WORDS = 300_000
 MEMO_CHARS = 64
 WORDS_AT_ONCE = 4096
 CHAIN = 64  # words per block of the forward-backward scan
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 512 << 10
 
 
 def letters_of(token: str) -> str:
@@ -253,13 +255,18 @@ class _Tagger:
 
     def clear(self) -> None:
         self.rows: dict[str, int] = {}
-        self.scores = np.zeros((0, len(self.model.labels)))
+        self.scores = np.zeros((1 << 12, len(self.model.labels)), np.float32)
+        self.used = 0
 
     def learn(self, tokens: list[str]) -> None:
         words = [letters_of(t) for t in tokens]
         lettered = [w for w in dict.fromkeys(words) if w]
-        at = {w: len(self.scores) + i for i, w in enumerate(lettered)}
-        self.scores = np.vstack([self.scores, self.model.word_scores(lettered)])
+        at = {w: self.used + i for i, w in enumerate(lettered)}
+        end = self.used + len(lettered)
+        if end > len(self.scores):  # doubled, so that words are copied no more than once on average
+            self.scores = np.concatenate([self.scores[: self.used], np.zeros((max(end, 2 * self.used) - self.used, self.scores.shape[1]), np.float32)])
+        self.scores[self.used : end] = self.model.word_scores(lettered)
+        self.used = end
         self.rows.update((t, at[w] if w else -1) for t, w in zip(tokens, words))
 
     def posteriors(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -277,7 +284,7 @@ class _Tagger:
         chain = np.concatenate([r[x] for r, x in zip(rows, lettered)])
         first = np.zeros(len(chain), bool)
         first[(np.cumsum(counts) - counts)[counts > 0]] = True
-        post = forward_backward(self.scores[chain], first, self.model.transitions, self.model.start)
+        post = forward_backward(self.scores[chain].astype(np.float64), first, self.model.transitions, self.model.start)
         for t in missing:
             if len(t) > MEMO_CHARS:
                 self.rows.pop(t)
@@ -295,6 +302,7 @@ def label_documents(text: Column, model: CrfModel) -> Column:
     @F.arrow_udf("struct<lang_pred:string,score:double,n_words:bigint,n_switches:bigint>")
     def labelled(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder.cache_clear()  # what another operator remembered in this worker would stay beside this one's memo
+        release_memory()
         tagger = _Tagger(model)
         for part in parts:
             names: list[str] = []
@@ -333,6 +341,7 @@ def word_confidence(text: Column, model: CrfModel) -> Column:
     @F.arrow_udf("double")
     def judged(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder.cache_clear()  # what another operator remembered in this worker would stay beside this one's memo
+        release_memory()
         tagger = _Tagger(model)
         for part in parts:
             sure: list[float | None] = []
