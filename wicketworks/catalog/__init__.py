@@ -1,4 +1,4 @@
-from wicketworks.catalog import modeling, plans, relations, rows, sources  # noqa: F401
+from wicketworks.catalog import layers, modeling, plans, relations, rows, sources  # noqa: F401
 from wicketworks.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

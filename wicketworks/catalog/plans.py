@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wicketworks import schemas
 from wicketworks.catalog import proxies as P
 from wicketworks.catalog.modeling import _COUNTS, _SCORES, _round8, _staged_sql, fit_groups, grouped_orders, grouped_sql
 from wicketworks.catalog.registry import query, rounded
 from wicketworks.catalog.sources import customer_archives, info_texts, split_sql
+from wicketworks.lookups import TEAM_NAMES
 from wicketworks.operators import metrics, samples
 from wicketworks.operators.modeling import load_model, save_model, score
 from wicketworks.operators.skew import BOUNDED
@@ -17,6 +19,8 @@ from wicketworks.sources.layers import Watch, store, write_bucketed
 from wicketworks.sources.match_info import split_text
 
 _DELIVERIES = f"({P.DELIVERIES})"
+# Any short name that stands for a long one.
+SHORT_NAME, LONG_NAME = next((k, v) for k, v in TEAM_NAMES.items() if k != v and "'" not in k + v)
 _MATCHES = f"({P.MATCHES})"
 _COUNT_COLUMNS = ["runs_off_bat", "extras", "wides", "byes", "legbyes"]
 
@@ -35,12 +39,7 @@ def clean_sql(columns):
     return f"SELECT {', '.join(shown)} FROM {_DELIVERIES} AS d"
 
 
-# All columns of the deliveries in order.
-_ALL = [
-    "match_id", "season", "start_date", "venue", "innings", "ball", "batting_team", "bowling_team", "striker",
-    "non_striker", "bowler", "runs_off_bat", "extras", "wides", "noballs", "byes", "legbyes", "penalty",
-    "wicket_type", "player_dismissed", "other_wicket_type", "other_player_dismissed",
-]
+_ALL = [field.split()[0] for field in schemas.DELIVERIES.split(", ")]
 
 
 def cleaned(t, narrow=False):
@@ -185,9 +184,33 @@ def _(t):
     return _bat(t)
 
 
-@query("c04_batting_all_nulls_filled", BAT_SQL)
+# Every third match count is missing, so that a sum over missing ones alone tells the variants apart.
+_GAPS = f"""SELECT "Player", "Season", CASE WHEN "Mat" % 3 <> 0 THEN "Mat" END AS "Mat", "Inns", "Runs", "SR", "Ave" FROM ({P.PLAYER_SEASONS}) AS full_rows"""
+_FILLED = BAT_SQL.replace(f"({P.PLAYER_SEASONS})", f"({_GAPS})")
+
+
+@query("c04_batting_all_nulls_filled", _FILLED)
+def _(t):
+    return season_stats.batting(t.sql(_GAPS), fill_all=True)
+
+
+@query(
+    "c04_batting_nulls_kept",
+    f"""SELECT f."Player", f."Country", f."Season", CASE WHEN k.n > 0 OR k.first THEN f."Cum Mat Total" END AS "Cum Mat Total",
+        f."Cum Inns Total", f."Cum Runs Total", f."Cum Batting Ave", f."Cum SR"
+        FROM (SELECT *, row_number() OVER (PARTITION BY "Player", "Country", "Season" ORDER BY "Cum Inns Total", "Cum Runs Total") AS i FROM ({_FILLED}) AS f0) AS f
+        JOIN (SELECT player, country_name, season, n, first, row_number() OVER (PARTITION BY player, country_name, season ORDER BY inns, runs) AS i
+              FROM (SELECT *, count(mat) OVER w AS n, count(*) OVER w = 0 AS first, coalesce(sum(inns0) OVER w, 0) AS inns, coalesce(sum(runs0) OVER w, 0) AS runs
+                    FROM (SELECT regexp_extract("Player", '^(.*?)\\s\\(', 1) AS player, regexp_extract("Player", '\\((.*?)\\)', 1) AS code,
+                                 regexp_extract("Player", '\\[(.*?)\\]', 1) AS pid, "Season" AS season, "Mat" AS mat, {_zero('Inns', 'INTEGER')} AS inns0,
+                                 {_zero('Runs', 'INTEGER')} AS runs0, {_zero('SR', 'DOUBLE')} AS sr, {_or_ratio('Ave')} AS ave FROM ({_GAPS}) AS g) AS q
+                    JOIN {P.KNOWN_CODES_SQL} USING (code)
+                    WINDOW w AS (PARTITION BY player, code ORDER BY season, pid, coalesce(mat, 0), inns0, runs0, ave, sr
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS x) AS k
+          ON f."Player" = k.player AND f."Country" = k.country_name AND f."Season" = k.season AND f.i = k.i""",
+)
 def _(t):
-    return _bat(t, fill_all=True)
+    return season_stats.batting(t.sql(_GAPS))
 
 
 _ROSTERED = """SELECT r.player_id, b."Player", b."Country", b."Season", b."Cum Mat Total", b."Cum Runs Total", b."Cum SR"
@@ -351,9 +374,30 @@ def _(t):
     return _match_teams(t)
 
 
-@query("c10_match_teams_mapped_first", match_teams_sql())
+# One team bears its long name in the statistics and its short one in the matches, so only mapping first keeps its matches.
+_LONG = "CASE WHEN {c} = 'TEAM_7' THEN '" + LONG_NAME + "' ELSE {c} END"
+_SHORT = "CASE WHEN {c} = 'TEAM_7' THEN '" + SHORT_NAME + "' ELSE {c} END"
+_NAMED_SEASONS = f"""SELECT {_LONG.format(c='"Team"')} AS "Team", "Season", "Mat", "Won", "Lost", "Tied", "NR", "Ave", "RPO" FROM ({P.TEAM_SEASONS}) AS s0"""
+_SIDES = ("team1", "team2", "winner")
+_NAMED_MATCHES = f"SELECT match_id, gender, season, {', '.join(f'{_SHORT.format(c=c)} AS {c}' for c in _SIDES)} FROM {_MATCHES} AS m0"
+_MAPPED_MATCHES = f"(SELECT match_id, gender, season, {', '.join(f'{_LONG.format(c=c)} AS {c}' for c in _SIDES)} FROM {_MATCHES} AS m0)"
+
+
+def _named_teams(t, **options):
+    return merge.match_teams(t.sql(_NAMED_MATCHES), season_stats.teams(t.sql(_NAMED_SEASONS)), **options)
+
+
+@query("c10_match_teams_mapped_first", match_teams_sql(_MAPPED_MATCHES).replace(P.TEAM_SEASONS, _NAMED_SEASONS))
+def _(t):
+    return _named_teams(t, map_before_filter=True)
+
+
+@query(
+    "c10_match_teams_mapped_last",
+    match_teams_sql(_MAPPED_MATCHES).replace(P.TEAM_SEASONS, f"SELECT * FROM ({_NAMED_SEASONS}) AS n WHERE \"Team\" <> '{LONG_NAME}'"),
+)
 def _(t):
-    return _match_teams(t, map_before_filter=True)
+    return _named_teams(t)
 
 
 _MEASURES = ", ".join(f'p."{m}"' for m in season_stats.PLAYER_MEASURES)
@@ -596,21 +640,25 @@ def _accepted():
     return f"({_ACCEPTED})"
 
 
-@query(
-    "c18_whole_batch",
-    f"""SELECT match_id, n_balls, score, n_players FROM
-        (SELECT match_id, count(*) AS n_balls, CAST(sum(runs) AS BIGINT) AS score FROM ({balls_sql(_accepted())}) AS b0 GROUP BY match_id) AS b
-        JOIN (SELECT match_id, count(*) AS n_players FROM ({match_players_sql(P.INFO_ROSTER)}) AS p0 GROUP BY match_id) AS p USING (match_id)
-        JOIN ({match_teams_sql(_accepted())}) AS t USING (match_id)""",
-)
-def _(t):
-    seasons = _seasons(t)
-    raw = batch.RawTables(
-        _lines(t), t.sql(P.DELIVERIES), seasons, seasons, seasons, t.sql(P.TEAM_SEASONS)
-    )
-    done = batch.process(raw, scratch_path(t.spark, "batch"))
+WHOLE_BATCH = f"""SELECT match_id, n_balls, score, n_players FROM
+    (SELECT match_id, count(*) AS n_balls, CAST(sum(runs) AS BIGINT) AS score FROM ({balls_sql(_accepted())}) AS b0 GROUP BY match_id) AS b
+    JOIN (SELECT match_id, count(*) AS n_players FROM ({match_players_sql(P.INFO_ROSTER)}) AS p0 GROUP BY match_id) AS p USING (match_id)
+    JOIN ({match_teams_sql(_accepted())}) AS t USING (match_id)"""
+
+
+def whole_batch(done):
+    """Balls, score and players of every match of the filtered tables."""
     balls = done["ball_to_ball"].groupBy("match_id").agg(F.count(F.lit(1)).alias("n_balls"), F.sum("runs").alias("score"))
     players = done["players_stats"].groupBy("match_id").agg(F.count(F.lit(1)).alias("n_players"))
     return balls.join(players, "match_id").join(done["team12_stats"].select("match_id"), "match_id").select(
         "match_id", "n_balls", "score", "n_players"
     )
+
+
+@query("c18_whole_batch", WHOLE_BATCH)
+def _(t):
+    seasons = _seasons(t)
+    raw = batch.RawTables(
+        _lines(t), t.sql(P.DELIVERIES), seasons, seasons, seasons, t.sql(P.TEAM_SEASONS)
+    )
+    return whole_batch(batch.process(raw, scratch_path(t.spark, "batch")))

@@ -177,12 +177,15 @@ def _(t):
 )
 def _(t):
     # Labels with ICC/PAK are in the data: without the subtraction they would map to a country.
-    every = {**COUNTRY_CODES, **MIXED_TEAM_CODES, **OUTLIER_CODES}
-    plain = {k: v for k, v in every.items() if k not in MIXED_TEAM_CODES and k not in OUTLIER_CODES}
+    every, mixed, outliers = (
+        rows.lookup_table(t.spark, codes, "code", "name")
+        for codes in ({**COUNTRY_CODES, **MIXED_TEAM_CODES, **OUTLIER_CODES}, MIXED_TEAM_CODES, OUTLIER_CODES)
+    )
+    plain = rows.without_codes(every, mixed, outliers)
     seasons = t.sql(P.PLAYER_SEASONS).select(
         F.col("Player").alias("player"), F.col("Season").alias("season"), text.label_country("Player").alias("country")
     )
-    return rows.map_codes(seasons, "country", plain)
+    return seasons.join(plain, F.col("country") == F.col("code")).select("player", "season", F.col("name").alias("country"))
 
 
 @query(

@@ -32,13 +32,12 @@ _RAW = f"({P.DELIVERIES}) AS d"
 
 @query(
     "s02_csv_fixed_schema",
-    f"SELECT match_id, season, innings, ball, batting_team, runs_off_bat, extras, noballs FROM {_RAW}",
+    f"SELECT * FROM {_RAW}",
 )
 def _(t):
     path = scratch_path(t.spark, "deliveries-csv")
     tables.write_csv(t.sql(P.DELIVERIES), path)
-    read = tables.read_deliveries(t.spark, path)
-    return read.select("match_id", "season", "innings", "ball", "batting_team", "runs_off_bat", "extras", "noballs")
+    return tables.read_deliveries(t.spark, path)
 
 
 _FILES = """SELECT CAST(o_orderkey AS STRING) || '_info.csv' AS file_name FROM {orders}
@@ -107,17 +106,23 @@ def info_texts(t):
 _OPEN = f"({P.OPEN_MATCHES}) AS m"
 
 
+# Players of the info texts: all that complete rosters list, and 21 of them where the roster is not complete.
+_LISTED = P.INFO_ROSTER.replace("WHERE o_custkey % 9 > 0", "WHERE o_custkey % 9 > 0 OR i < 22")
+
+
 @query(
     "s05_ragged_lines",
-    f"""SELECT match_id, attribute, value FROM (
+    f"""SELECT match_id, 'info' AS type, attribute, value, NULL AS player, NULL AS code FROM (
         SELECT match_id, 'balls_per_over' AS attribute, '6' AS value FROM {_OPEN}
         UNION ALL SELECT match_id, 'team', team1 FROM {_OPEN} UNION ALL SELECT match_id, 'team', team2 FROM {_OPEN}
         UNION ALL SELECT match_id, 'gender', gender FROM {_OPEN} UNION ALL SELECT match_id, 'season', season FROM {_OPEN}
-        UNION ALL SELECT match_id, 'winner', winner FROM {_OPEN} WHERE winner IS NOT NULL) AS x""",
+        UNION ALL SELECT match_id, 'winner', winner FROM {_OPEN} WHERE winner IS NOT NULL) AS x
+        UNION ALL SELECT match_id, 'version', '2.2.0', NULL, NULL, NULL FROM {_OPEN}
+        UNION ALL SELECT match_id, 'info', 'player', country, player, NULL FROM ({_LISTED}) AS l
+        UNION ALL SELECT match_id, 'info', 'registry', 'people', player, player_id FROM ({_LISTED}) AS r""",
 )
 def _(t):
-    parsed = match_info.split_text(info_texts(t))
-    return parsed.where((F.col("type") == "info") & F.col("player").isNull()).select("match_id", "attribute", "value")
+    return match_info.split_text(info_texts(t)).select("match_id", "type", "attribute", "value", "player", "code")
 
 
 @query(
