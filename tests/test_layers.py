@@ -119,3 +119,10 @@ def test_a_fitted_model_scores_after_rows_were_observed(spark):
     assert watch.rows == 40
     assert models.score(models.baseline_classifier(["a"]).fit(df), df, ["label"]).count() == 40
     assert len(models.score(models.baseline_classifier(["a"]).fit(df), df, ["label"]).collect()) == 40
+
+
+def test_padding_reads_stored_samples(spark):
+    from wicketworks.catalog import QUERIES
+
+    padded = QUERIES["m05_padded_batches"](spark, "/root/testdata/sf0.001")
+    assert len(exchanges(padded)) <= 6

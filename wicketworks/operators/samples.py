@@ -19,6 +19,7 @@ from wicketworks.operators.aggregates import CHUNK_ROWS, sequences
 from wicketworks.operators.ordering import hash_unit
 from wicketworks.operators.skew import join_keys
 from wicketworks.operators.windows import row_numbers
+from wicketworks.session import materialize
 
 # Stage windows in overs, and balls per over.
 WINDOW_OVERS = [20, 25, 30, 35, 40, 45]
@@ -136,13 +137,14 @@ def assign_batches(
     """0-based batch number inside each split, in the given order.
 
     Rows with chunks are numbered by their first chunk, so a batch holds ``batch_size`` samples
-    however many chunks they have; ``order`` must then identify a sample.
+    however many chunks they have; ``order`` must then identify a sample. They are stored with their batch, as padding
+    reads them more than once.
     """
     whole = "chunk" not in samples.columns
     heads = samples if whole else samples.where("chunk = 0").select(split, *order)
     numbered = row_numbers(heads, [split], order, "_n", group_rows)
     numbered = numbered.withColumn("batch_id", F.floor((F.col("_n") - 1) / batch_size)).drop("_n")
-    return numbered if whole else join_keys(samples, numbered, [split, *order])
+    return numbered if whole else materialize(join_keys(samples, numbered, [split, *order]), "batched")
 
 
 def pad_batches(
@@ -154,13 +156,16 @@ def pad_batches(
     it lacks, filled with zeros and with its other arrays empty.
     """
     longest = samples.groupBy(*batch, "chunk").agg(F.max(F.size(array)).alias("padded_length"), F.max("start").alias("start"))
-    heads = samples.where("chunk = 0").drop("chunk", "start").join(longest.where("chunk > 0"), list(batch))
-    lacking = join_keys(heads, samples.select(*key, "chunk"), [*key, "chunk"], "left_anti")
-    empty = [c for c, kind in samples.dtypes if kind.startswith("array<array") and c != "team"]
-    lacking = lacking.withColumns({c: F.array().cast(samples.schema[c].dataType) for c in empty})
-    there = samples.join(longest.drop("start"), [*batch, "chunk"])
+    longest = materialize(longest, "longest")
     zeros = F.array_repeat(F.lit(0.0), width)
-    return there.unionByName(lacking).withColumn(array, pad(F.col(array), F.col("padded_length"), zeros))
+    padded = samples.join(longest.drop("start"), [*batch, "chunk"])
+    if not longest.where("chunk > 0").isEmpty():  # otherwise every sample is one chunk, and none is lacking
+        heads = samples.where("chunk = 0").drop("chunk", "start").join(longest.where("chunk > 0"), list(batch))
+        lacking = join_keys(heads, samples.select(*key, "chunk"), [*key, "chunk"], "left_anti")
+        empty = [c for c, kind in samples.dtypes if kind.startswith("array<array") and c != "team"]
+        lacking = lacking.withColumns({c: F.array().cast(samples.schema[c].dataType) for c in empty})
+        padded = padded.unionByName(lacking)
+    return padded.withColumn(array, pad(F.col(array), F.col("padded_length"), zeros))
 
 
 def input_shapes(samples: DataFrame, key: Sequence[str]) -> DataFrame:
