@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from wicketworks import schemas
@@ -186,7 +188,11 @@ def _(t):
 
 # Every third match count is missing, so that a sum over missing ones alone tells the variants apart.
 _GAPS = f"""SELECT "Player", "Season", CASE WHEN "Mat" % 3 <> 0 THEN "Mat" END AS "Mat", "Inns", "Runs", "SR", "Ave" FROM ({P.PLAYER_SEASONS}) AS full_rows"""
-_FILLED = BAT_SQL.replace(f"({P.PLAYER_SEASONS})", f"({_GAPS})")
+_FILLED = BAT_SQL.replace(f"({P.PLAYER_SEASONS})", "(" + _GAPS.replace("END AS", "ELSE 0 END AS", 1) + ")")
+_KEPT = re.sub(
+    r'coalesce\(sum\("Mat"\) (OVER \([^)]*\)), 0\)', r'CASE WHEN count(*) \1 = 0 THEN 0 ELSE sum("Mat") \1 END',
+    BAT_SQL.replace(f"({P.PLAYER_SEASONS})", f"({_GAPS})"),
+).replace('pid, "Mat"', 'pid, "Mat" NULLS FIRST')
 
 
 @query("c04_batting_all_nulls_filled", _FILLED)
@@ -194,21 +200,7 @@ def _(t):
     return season_stats.batting(t.sql(_GAPS), fill_all=True)
 
 
-@query(
-    "c04_batting_nulls_kept",
-    f"""SELECT f."Player", f."Country", f."Season", CASE WHEN k.n > 0 OR k.first THEN f."Cum Mat Total" END AS "Cum Mat Total",
-        f."Cum Inns Total", f."Cum Runs Total", f."Cum Batting Ave", f."Cum SR"
-        FROM (SELECT *, row_number() OVER (PARTITION BY "Player", "Country", "Season" ORDER BY "Cum Inns Total", "Cum Runs Total") AS i FROM ({_FILLED}) AS f0) AS f
-        JOIN (SELECT player, country_name, season, n, first, row_number() OVER (PARTITION BY player, country_name, season ORDER BY inns, runs) AS i
-              FROM (SELECT *, count(mat) OVER w AS n, count(*) OVER w = 0 AS first, coalesce(sum(inns0) OVER w, 0) AS inns, coalesce(sum(runs0) OVER w, 0) AS runs
-                    FROM (SELECT regexp_extract("Player", '^(.*?)\\s\\(', 1) AS player, regexp_extract("Player", '\\((.*?)\\)', 1) AS code,
-                                 regexp_extract("Player", '\\[(.*?)\\]', 1) AS pid, "Season" AS season, "Mat" AS mat, {_zero('Inns', 'INTEGER')} AS inns0,
-                                 {_zero('Runs', 'INTEGER')} AS runs0, {_zero('SR', 'DOUBLE')} AS sr, {_or_ratio('Ave')} AS ave FROM ({_GAPS}) AS g) AS q
-                    JOIN {P.KNOWN_CODES_SQL} USING (code)
-                    WINDOW w AS (PARTITION BY player, code ORDER BY season, pid, coalesce(mat, 0), inns0, runs0, ave, sr
-                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS x) AS k
-          ON f."Player" = k.player AND f."Country" = k.country_name AND f."Season" = k.season AND f.i = k.i""",
-)
+@query("c04_batting_nulls_kept", _KEPT)
 def _(t):
     return season_stats.batting(t.sql(_GAPS))
 
