@@ -6,7 +6,7 @@ import xxhash
 
 from tests.llm.edge import SCHEMA, clashing, edge_documents
 from wicketworks.llm.common import components
-from wicketworks.llm.simhash import drop_near_duplicates, near_duplicates
+from wicketworks.llm.simhash import near_duplicates
 
 MASK = (1 << 64) - 1
 
@@ -61,16 +61,6 @@ def test_given_documents(spark):
     assert sorted(((r[0], r[1] & MASK, r[2]) for r in got), key=str) == plain_groups(docs.collect())
 
 
-def test_one_document_of_each_group_stays(spark):
-    docs = edge_documents(spark)
-    kept = drop_near_duplicates(docs)
-    assert kept.columns == docs.columns
-    got = kept.collect()
-    want = {g[2] for g in plain_groups([r for r in docs.collect() if r.doc_id is not None])}
-    assert sorted(r.doc_id for r in got if r.doc_id is not None) == sorted(want)
-    assert sum(r.doc_id is None for r in got) == 3
-
-
 def test_components_of_paths_stars_and_cliques(spark):
     pairs = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(300, 340)]
     pairs += [(a, b) for a in range(500, 508) for b in range(500, 508)] + [(9, 9), (339, 160)]

@@ -19,6 +19,19 @@ def keyed_hash(seed: int, *columns: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """A row in one struct, so that no column of it meets the names an operator uses; ``select("name.*")`` unpacks it."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until ``docs`` has no such column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def release_memory() -> None:
     """Give memory that a worker has freed back to the system, where its C library can."""
     import ctypes

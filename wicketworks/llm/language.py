@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wicketworks.llm.common import release_memory
+from wicketworks.llm.common import release_memory, whole_row
 
 UNKNOWN = "und"
 # The training sample: documents per language, stretches of a document and words of a stretch.
@@ -408,9 +408,10 @@ def keep_identified(
 ) -> DataFrame:
     """The documents in a language or several: those without a letter and those whose words are told with low confidence go.
 
-    With no label to learn from every document with a letter stays.
+    With no label to learn from every document with a letter stays. A null or empty text has no letter and goes;
+    repeated rows are judged each; extra columns may have any name and are kept as they are.
     """
     key = F.col(f"`{doc_id}`")
     model = fit(training_stretches(docs.where(key.isNotNull() & ~held_out(key)), lang, key, text), seed)
-    judged = docs.withColumn("_sure", word_confidence(F.col(f"`{text}`"), model))
-    return judged.where(F.col("_sure") >= least_score).select(*[F.col(f"`{c}`") for c in docs.columns])
+    judged = docs.select(whole_row(docs).alias("_doc"), word_confidence(F.col(f"`{text}`"), model).alias("_sure"))
+    return judged.where(F.col("_sure") >= least_score).select("_doc.*")

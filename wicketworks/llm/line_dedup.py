@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wicketworks.llm.common import components
+from wicketworks.llm.common import components, free_name, whole_row
 from wicketworks.session import materialize
 
 MAX_EDITS = 2
@@ -263,18 +263,20 @@ def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS, least_chars: int = LEAS
     Lines are parted by line feeds and compared without blanks at their ends; lines below ``least_chars``
     characters always stay. The first is that of the smallest document id (null last), then the earliest. Adds
     ``n_lines`` and ``n_removed`` behind the columns of ``docs``. Null texts stay null with 0 lines, an empty text is one
-    line; rows alike in id and text are one document and keep the same lines; an empty table gives an empty table.
+    line; rows alike in id and text are one document and keep the same lines; an empty table gives an empty table. Extra
+    columns may have any name; the two new ones get underscores behind theirs where ``docs`` has it.
     """
     gone = repeated_lines(docs, edits, least_chars, doc_id, text, group_lines).select(F.col("id").alias("_gid"), F.col("th").alias("_gth"), F.col("gone").alias("_gone"))
-    own = docs.withColumn("_th", F.xxhash64(F.col(f"`{text}`")))
-    joined = own.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_gid")) & (F.col("_th") == F.col("_gth")), "left")
-    whole = F.split(F.col(f"`{text}`"), "\n", -1)
-    kept = F.when(F.col("_gone").isNull(), F.col(f"`{text}`")).otherwise(
+    given = F.col(f"`{text}`")
+    own = docs.select(F.col(f"`{doc_id}`").alias("_key"), given.alias("_text"), F.xxhash64(given).alias("_th"), whole_row(docs).alias("_doc"))
+    joined = own.join(gone, F.col("_key").eqNullSafe(F.col("_gid")) & (F.col("_th") == F.col("_gth")), "left")
+    whole = F.split(F.col("_text"), "\n", -1)
+    kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(
         F.array_join(F.filter(whole, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
     )
-    columns = [kept.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")]
+    columns = [kept.alias(c) if c == text else F.col("_doc").getField(c).alias(c) for c in docs.columns]
     return joined.select(
         *columns,
-        F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.size(whole)).alias("n_lines"),
-        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("n_removed"),
+        F.when(F.col("_text").isNull(), 0).otherwise(F.size(whole)).alias(free_name(docs, "n_lines")),
+        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias(free_name(docs, "n_removed")),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wicketworks.llm.common import keyed_hash
+from wicketworks.llm.common import free_name, keyed_hash, whole_row
 from wicketworks.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -195,17 +195,21 @@ def mixture(docs: DataFrame, seed: int = 0, **options) -> DataFrame:
     """The mix itself: the columns of ``docs`` once for every copy, with ``_shard`` and ``_order`` in front.
 
     Each shard is shuffled locally: its rows are dealt over tasks and sorted by a keyed hash of row and copy.
+    Null and empty texts have no words and come with whole passes only; null sources are one source; repeated rows
+    count each. Extra columns may have any name; the two new ones get underscores behind theirs where ``docs`` has it.
     """
-    doc_id = options.get("doc_id", "doc_id")
+    inner = {"doc_id": "_id", "source": "_source", "text": "_text"}
+    given = {inner[name]: F.col(f"`{options.pop(name, name)}`") for name in inner}
+    shard, order = free_name(docs, "_shard"), free_name(docs, "_order")
     # The plan is made on narrow rows; rows alike in every column are told apart by a number.
     alike = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    keyed = docs.withColumn("_alike", alike)
+    narrow = docs.select(alike.alias("_alike"), *[c.alias(name) for name, c in given.items()])
     nth = F.row_number().over(W.partitionBy("_alike", "_id").orderBy("_id"))
-    plan = mix(keyed, seed=seed, keep=["_alike"], **options).where("copies > 0").withColumnRenamed(doc_id, "_id")
+    plan = mix(narrow, seed=seed, keep=["_alike"], **inner, **options).where("copies > 0")
     plan = plan.select(F.col("_alike").alias("_a"), F.col("_id").alias("_i"), "shards", F.row_number().over(W.partitionBy("_alike", "_id").orderBy(F.desc("copies"))).alias("_n"))
-    rows = keyed.withColumn("_id", F.col(f"`{doc_id}`")).withColumn("_nth", nth)
+    rows = docs.select(alike.alias("_alike"), given["_id"].alias("_id"), whole_row(docs).alias("_doc")).withColumn("_nth", nth)
     matched = (F.col("_alike") == F.col("_a")) & F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_nth") == F.col("_n"))
-    each = rows.join(plan, matched).select(*[F.col(f"`{c}`") for c in docs.columns], F.posexplode("shards").alias("_copy", "_shard"))
-    ordered = each.withColumn("_order", keyed_hash(seed + 1, F.col(f"`{doc_id}`"), F.col("_copy")))
+    each = rows.join(plan, matched).select("_doc", "_id", F.posexplode("shards").alias("_copy", "_shard"))
+    ordered = each.withColumn("_order", keyed_hash(seed + 1, F.col("_id"), F.col("_copy")))
     dealt = ordered.repartition("_shard", F.pmod("_order", F.lit(64))).sortWithinPartitions("_shard", "_order")
-    return dealt.select("_shard", "_order", *[F.col(f"`{c}`") for c in docs.columns])
+    return dealt.select(F.col("_shard").alias(shard), F.col("_order").alias(order), "_doc.*")

@@ -107,18 +107,6 @@ def near_duplicates(
     return joined.select(F.col("_id").alias(doc_id), "fingerprint", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with the smallest id of their group; of repeated rows of that id, one.
-
-    Documents without an id cannot be told apart and stay.
-    """
-    groups = near_duplicates(docs.where(F.col(f"`{doc_id}`").isNotNull()), words, radius, doc_id, text)
-    kept = groups.where(F.col(f"`{doc_id}`") == F.col("component_id")).select(F.col(f"`{doc_id}`").alias("_kept")).distinct()
-    named = docs.where(F.col(f"`{doc_id}`").isNotNull())
-    first = named.join(kept, F.col(f"`{doc_id}`") == F.col("_kept"), "left_semi").dropDuplicates([doc_id])
-    return first.unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))
-
-
 def hex_fingerprint(value: Column) -> Column:
     """16 lower-case hex digits."""
     return F.lpad(F.lower(F.hex(value)), 16, "0")
