@@ -18,7 +18,7 @@ from wicketworks.llm.token_counts import count_tokens
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
-ODD = st.lists(st.sampled_from([*"abZé ß's.,!19\n\t\r\x1c\x1f\x85  ́Σσ語<|>", " ", "\n", "'ll", "<|endoftext|>"]), max_size=40).map("".join)
+ODD = st.lists(st.sampled_from([*"abZé ß's.,!19\n\t\r\x1c\x1f\x01\x85  ́Σσ語<|>", " ", "\n", "'ll", "<|endoftext|>"]), max_size=40).map("".join)
 
 
 whole = lru_cache(Tokenizer.from_file)

@@ -27,6 +27,9 @@ _UNUSUAL = ("  ", "\n\n", " \n", "\n ", *_SEPARATORS, *_OTHER_SPACE)
 _RUNS = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 _WORDS = re.compile(r"[\S\x1c-\x1f]+")
 _CLOSING = ".,;:!?"
+# Pieces that are encoded as one text, and the character between them.
+JOINED_PIECES = 256
+_BETWEEN = "\x01"
 
 
 @lru_cache(maxsize=1 << 14)
@@ -64,9 +67,12 @@ class _Memo(dict):
 
 
 class PieceEncoder:
-    """Encodes texts through their pieces; ``value`` turns a piece's ids into what is kept."""
+    """Encodes texts through their pieces; ``value`` turns a piece's ids into what is kept.
 
-    def __init__(self, path: str, split: Callable[[str], list[str]], value: Callable[[list[int]], object]) -> None:
+    ``joined`` is for tokenizers that drop white space: many pieces are then encoded as one text.
+    """
+
+    def __init__(self, path: str, split: Callable[[str], list[str]], value: Callable[[list[int]], object], joined: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -75,6 +81,32 @@ class PieceEncoder:
         self.split = split
         self.value = value
         self.memo = _Memo()
+        mark = self.library.encode(_BETWEEN, add_special_tokens=False).ids
+        self.between = mark[0] if joined and len(mark) == 1 else None
+
+    def _single(self, pieces: list[str]) -> list:
+        return list(map(self.value, map(attrgetter("ids"), self.library.encode_batch_fast(pieces, add_special_tokens=False))))
+
+    def _values(self, pieces: list[str]) -> list:
+        """The value of each piece. A piece between blanks has the ids that it has alone, and a text costs less than many
+        do; a run in which the id between pieces is met inside a piece as well is encoded piece by piece."""
+        if self.between is None:
+            return self._single(pieces)
+        runs = [pieces[i : i + JOINED_PIECES] for i in range(0, len(pieces), JOINED_PIECES)]
+        texts = [f" {_BETWEEN} ".join(run) for run in runs]
+        out = []
+        for run, encoded in zip(runs, self.library.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = encoded.ids
+            if ids.count(self.between) != len(run) - 1:
+                out += self._single(run)
+                continue
+            ids.append(self.between)
+            at = 0
+            for _ in run:
+                end = ids.index(self.between, at)
+                out.append(self.value(ids[at:end]))
+                at = end + 1
+        return out
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode the pieces; closing punctuation behind a letter that normalizers keep is a token run of its own."""
@@ -83,8 +115,7 @@ class PieceEncoder:
         memo = self.memo
         tails = {p[len(h) :] for p, h in zip(pieces, heads) if h is not p}
         fresh = [x for x in {*heads, *tails} if memo.get(x) is None]
-        encoded = self.library.encode_batch_fast(fresh, add_special_tokens=False)
-        memo.update(zip(fresh, map(self.value, map(attrgetter("ids"), encoded))))
+        memo.update(zip(fresh, self._values(fresh)))
         for piece, head in zip(pieces, heads):
             if head is not piece:
                 memo[piece] = memo[head] + memo[piece[len(head) :]]
@@ -138,4 +169,4 @@ def encoder(path: str, kind: str) -> PieceEncoder:
         return PieceEncoder(path, spaced_pieces, len)
     if kind == "short":
         return PieceEncoder(path, spaced_pieces, lambda ids: array("H", ids).tobytes())
-    return PieceEncoder(path, bare_pieces if kind == "words" else spaced_pieces, packed)
+    return PieceEncoder(path, bare_pieces, packed, joined=True) if kind == "words" else PieceEncoder(path, spaced_pieces, packed)
