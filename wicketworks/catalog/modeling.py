@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from wicketworks.catalog import proxies as P
 from wicketworks.catalog.registry import query, rounded
 from wicketworks.catalog.relations import hash_sql
 from wicketworks.catalog.sources import split_sql
-from wicketworks.operators import metrics, modeling, profile, samples
+from wicketworks.operators import frequent, metrics, modeling, profile, samples
 from wicketworks.operators.aggregates import CHUNK_ROWS, sequences
 from wicketworks.session import scratch_path
 
@@ -497,3 +499,32 @@ def _(t):
 )
 def _(t):
     return profile.duplicate_rows(t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag"))
+
+
+_LINE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+]
+_LINE_VALUES = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({c} AS STRING) AS value, count(*) AS n FROM {{lineitem}} GROUP BY {c}" for c in _LINE_COLUMNS
+)
+
+
+@query(
+    "e16_frequent_values_of_all_columns",
+    f"""SELECT "column", value, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value NULLS LAST) AS rank
+        FROM ({_LINE_VALUES}) AS c) AS r WHERE rank <= 5""",
+)
+def _(t):
+    return frequent.frequent_values(t.lineitem, _LINE_COLUMNS)
+
+
+@query(
+    "e16_correlations_of_all_columns",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS left_column, '{b}' AS right_column, round(corr({a}, {b}), 6) AS corr FROM {{lineitem}}"
+        for a, b in combinations(_LINE_COLUMNS[:8], 2)
+    ),
+)
+def _(t):
+    return frequent.correlation_matrix(t.lineitem, digits=6)
