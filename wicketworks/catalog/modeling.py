@@ -12,6 +12,7 @@ from wicketworks.catalog.relations import hash_sql
 from wicketworks.catalog.sources import split_sql
 from wicketworks.operators import frequent, metrics, modeling, profile, samples
 from wicketworks.operators.aggregates import CHUNK_ROWS, sequences
+from wicketworks.operators.windows import row_numbers
 from wicketworks.session import scratch_path
 
 _SEQ = f"({P.SEQUENCES}) AS s"
@@ -167,6 +168,27 @@ def _(t):
     return _padded(t, chunk_rows=2)
 
 
+@query(
+    "m05_batches_of_two_epochs",
+    f"""WITH RECURSIVE s AS (
+        SELECT o_orderkey, split, row_number() OVER (PARTITION BY split ORDER BY o_orderkey) - 1 AS x, count(*) OVER (PARTITION BY split) AS n
+        FROM (SELECT o_orderkey, {split_sql('o_orderkey')} AS split FROM {{orders}}) AS k
+    ), w AS (
+        SELECT o_orderkey, split, n, epoch, x, 0 AS r FROM s CROSS JOIN (VALUES (0), (1)) AS e(epoch)
+        UNION ALL
+        SELECT o_orderkey, split, n, epoch, CASE WHEN md5(t || ':' || greatest(x, p)) >= '8' THEN p ELSE x END, r + 1
+        FROM (SELECT *, ((CAST('0x' || substr(md5(t), 1, 15) AS BIGINT) % n - x) % n + n) % n AS p
+              FROM (SELECT *, '42:' || epoch || ':' || r AS t FROM w WHERE r < {samples.EPOCH_ROUNDS}) AS a) AS b
+    )
+    SELECT o_orderkey, split, epoch, x AS place, x // 16 AS batch_id FROM w WHERE r = {samples.EPOCH_ROUNDS}""",
+)
+def _(t):
+    named = t.orders.select("o_orderkey", samples.split_of("o_orderkey").alias("split"))
+    numbered = row_numbers(named, ["split"], ["o_orderkey"], "number").withColumn("number", F.col("number") - 1)
+    epochs = numbered.withColumn("epoch", F.explode(F.array(F.lit(0), F.lit(1))))
+    return samples.epoch_batches(epochs, 16, F.col("epoch")).drop("number")
+
+
 _SHAPES = """SELECT 2 AS team_width, CAST(max(n) AS INTEGER) AS player_rows, 2 AS player_columns, 2 AS ball_columns
        FROM (SELECT count(*) AS n FROM {lineitem} WHERE l_orderkey IN (SELECT conv_id FROM {conversations})
              AND l_orderkey IN (SELECT doc_id FROM {documents}) GROUP BY l_orderkey) AS x"""

@@ -26,6 +26,9 @@ WINDOW_OVERS = [20, 25, 30, 35, 40, 45]
 EARLY_WINDOW_OVERS = [5, 10, 15, 20, 25, 30, 35, 40, 45]
 BALLS_PER_OVER = 6
 
+# Rounds of the permutation that orders an epoch.
+EPOCH_ROUNDS = 24
+
 
 def align(tables: Sequence[DataFrame], key: str) -> DataFrame:
     """Inner join of keyed collections: the keys all of them have."""
@@ -147,6 +150,38 @@ def assign_batches(
     return numbered if whole else materialize(join_keys(samples, numbered, [split, *order]), "batched")
 
 
+def epoch_batches(
+    numbered: DataFrame,
+    batch_size: int,
+    epoch: int | Column = 0,
+    number: str = "number",
+    split: str = "split",
+    seed: int = 42,
+    rounds: int = EPOCH_ROUNDS,
+) -> DataFrame:
+    """``place`` and ``batch_id`` of every sample in one epoch, from its 0-based number inside its split.
+
+    The order of an epoch is a permutation keyed by seed and epoch, reckoned from the number alone: no sort and no
+    exchange of samples. In each round a number and its mirror image about a drawn point change places or stay together, by a
+    bit that both see, so that every place is taken once whatever the size of the split. Rows with chunks keep the
+    place of their sample; rows without a number have none.
+    """
+    sizes = numbered.groupBy(F.col(split).alias("_of")).agg((F.max(number) + 1).alias("_size"))
+    sized = numbered.join(sizes, F.col(split).eqNullSafe(F.col("_of")))
+    key = F.concat_ws(":", F.lit(seed).cast("string"), (F.lit(epoch) if isinstance(epoch, int) else epoch).cast("string"))
+
+    def step(place: Column, turn: Column) -> Column:
+        drawn = F.concat_ws(":", key, turn.cast("string"))
+        point = F.conv(F.substring(F.md5(drawn), 1, 15), 16, 10).cast("bigint")
+        mirror = F.pmod(F.pmod(point, "_size") - place, F.col("_size"))
+        bit = F.md5(F.concat_ws(":", drawn, F.greatest(place, mirror).cast("string"))) >= "8"
+        return F.when(bit, mirror).otherwise(place)
+
+    turns = F.sequence(F.lit(0), F.lit(rounds - 1))
+    placed = sized.withColumn("place", F.aggregate(turns, F.col(number).cast("bigint"), step))
+    return placed.withColumn("batch_id", F.floor(F.col("place") / batch_size)).drop("_of", "_size")
+
+
 def pad_batches(
     samples: DataFrame, array: str, width: int, key: Sequence[str], batch: Sequence[str] = ("split", "batch_id")
 ) -> DataFrame:
