@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -99,3 +100,21 @@ def test_repeated_and_null_ids(spark):
     got = [sorted(map(tuple, drop_similar(spark.createDataFrame(r, SCHEMA).repartition(3)).collect()), key=str) for r in (rows, rows[::-1])]
     assert got[0] == got[1]
     assert [(r[0], r[1].split()[0]) for r in got[0]] in ([(1, "a0"), (1, "b0"), (None, "c0")],)
+
+
+def test_sketches_rule_out_no_similar_sets():
+    rng = random.Random(5)
+    ruled_out = 0
+    for _ in range(3000):
+        n = rng.choice((1, 2, 5, 9, 40, 63, 64, 65, 130, 500))
+        own = {rng.getrandbits(64) for _ in range(n)}
+        other = set(rng.sample(sorted(own), n - rng.randrange(n // rng.choice((2, 5, 9)) + 1)))
+        other |= {rng.getrandbits(64) for _ in range(rng.randrange(n // rng.choice((2, 5, 9)) + 2))}
+        if not other:
+            continue
+        a, b = (np.array(sorted(x), np.uint64) for x in (own, other))
+        alike = similar.similar(a, b)
+        told = similar.possible(len(a), len(b), similar.sketch(a), similar.sketch(b))
+        assert told or not alike
+        ruled_out += not told
+    assert ruled_out > 500
