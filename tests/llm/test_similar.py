@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm.edge import SCHEMA, clashing, edge_documents
-from tests.llm.test_simhash import plain_roots
+from tests.llm.test_simhash import plain_fingerprint, plain_roots
 from wicketworks.llm import similar
 from wicketworks.llm.similar import drop_similar
 
@@ -102,6 +102,24 @@ def test_repeated_and_null_ids(spark):
     assert [(r[0], r[1].split()[0]) for r in got[0]] in ([(1, "a0"), (1, "b0"), (None, "c0")],)
 
 
+def test_stage_takes_both_steps(spark):
+    """What fingerprints link goes though its words are unlike, what only similar words join goes too, and chains of both hold together."""
+    spam = " ".join(["spam"] * 30)
+    words = [f"w{i}" for i in range(120)]
+    like = " ".join([*words[:60], "other", *words[61:]])
+    texts = [f"{spam} a b", f"{spam} c d", " ".join(words), like, "quite another text of a few words", None, " \n"]
+    prints = [plain_fingerprint(t) for t in texts]
+    assert (prints[0] ^ prints[1]).bit_count() <= 2 < (prints[2] ^ prints[3]).bit_count()
+    a, b = plain_set(texts[0]), plain_set(texts[1])
+    assert 5 * len(a & b) < 4 * len(a | b)
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], SCHEMA)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "/nowhere").collect()) == [0, 2, 4, 5]
+    assert sorted(r.doc_id for r in drop_similar(docs).collect()) == [0, 1, 2, 4, 5]
+    # 2 ~ 3 by similarity, 3 ~ 4 by a given link: one group.
+    chain = docs.where("doc_id in (3, 4)").selectExpr("min(xxhash64(text)) a", "max(xxhash64(text)) b")
+    assert sorted(r.doc_id for r in drop_similar(docs, links=chain).collect()) == [0, 1, 2, 5]
+
+
 def test_sketches_rule_out_no_similar_sets():
     rng = random.Random(5)
     ruled_out = 0
