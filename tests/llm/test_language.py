@@ -1,6 +1,7 @@
 """The conditional random field against enumeration, and accuracy on held-out documents."""
 
 from itertools import product
+from zlib import crc32
 
 import numpy as np
 import pytest
@@ -95,3 +96,21 @@ def test_texts_in_all_languages_at_once_stay(spark):
     label = {r.doc_id: r for r in identify_languages(both).collect()}[10**9]
     assert label.score < 0.34
     assert both.schema == docs.schema and 10**9 in {r.doc_id for r in keep_identified(both).collect()}
+
+
+def test_features_are_hashes_of_their_names(monkeypatch):
+    """The same buckets whether parts of words were met before or not, and when no more of them are kept; no name is hashed twice."""
+    words = ["a", "ab", "abc", "abcd", "abcde", "straße", "слово", "語", "a" * 300, "𝔞𝔟𝔠"]
+
+    def plain(word):
+        names = [f"p{word[:n]}" for n in range(1, min(4, len(word)) + 1)] + [f"s{word[-n:]}" for n in range(1, min(4, len(word)) + 1)]
+        names += [f"<{word}>"[i : i + n] for n in (2, 3) for i in range(len(word) + 3 - n)]
+        return [crc32(x.encode()) % language.BUCKETS for x in names] + ([language.BUCKETS + 7] if word == "abc" else [])
+
+    for _ in range(2):
+        assert [language.word_features(w, {"abc": 7}) for w in words] == list(map(plain, words))
+    hashed = []
+    monkeypatch.setattr(language, "crc32", lambda x: hashed.append(x) or crc32(x))
+    assert [language.word_features(w, {"abc": 7}) for w in words] == list(map(plain, words)) and not hashed
+    monkeypatch.setattr(language, "MEMO_PARTS", 0)
+    assert [language.word_features(w, {}) for w in ("neverseen", "neverseen")] == [plain("neverseen")] * 2

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain as chained
+from operator import add
 from zlib import crc32
 
 import numpy as np
@@ -31,6 +33,7 @@ MOST_LANGUAGES = 512
 LEAST_SCORE = 0.34
 MEMO_WORDS = 300_000
 MEMO_CHARS = 64
+MEMO_PARTS = 60_000
 WORDS_AT_ONCE = 4096
 CHAIN = 64  # words per block of the forward-backward scan
 BATCH_CHARS = 512 << 10
@@ -43,12 +46,31 @@ def letters_of(token: str) -> str:
     return token.lower()
 
 
+class _Buckets(dict):
+    """Buckets of the features that come from a part of a word, kept for the parts met first."""
+
+    def __init__(self, names: Callable[[str], list[str]]) -> None:
+        super().__init__()
+        self.names = names
+
+    def __missing__(self, part: str) -> tuple[int, ...]:
+        found = tuple(crc32(x.encode()) % BUCKETS for x in self.names(part))
+        if len(self) < MEMO_PARTS:
+            self[part] = found
+        return found
+
+
+_HEADS = _Buckets(lambda head: [f"p{head[:n]}" for n in range(1, len(head) + 1)])
+_TAILS = _Buckets(lambda tail: [f"s{tail[-n:]}" for n in range(1, len(tail) + 1)])
+_GRAMS = _Buckets(lambda gram: [gram])
+
+
 def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
     """Affixes of up to four letters, letter n-grams of two and three, and the word itself if the lexicon has it."""
     marked = f"<{word}>"
-    names = [f"p{word[:n]}" for n in range(1, 5) if n <= len(word)] + [f"s{word[-n:]}" for n in range(1, 5) if n <= len(word)]
-    names += [marked[i : i + n] for n in (2, 3) for i in range(len(marked) - n + 1)]
-    found = [crc32(x.encode()) % BUCKETS for x in names]
+    two = list(map(add, marked, marked[1:]))
+    three = map(add, two, marked[2:])
+    found = [*_HEADS[word[:4]], *_TAILS[word[-4:]], *chained.from_iterable(map(_GRAMS.__getitem__, two)), *chained.from_iterable(map(_GRAMS.__getitem__, three))]
     if word in lexicon:
         found.append(BUCKETS + lexicon[word])
     return found
@@ -125,8 +147,9 @@ class CrfModel:
         parts = [np.zeros((0, len(self.labels)))]
         for at in range(0, len(words), WORDS_AT_ONCE):
             features = [word_features(w, self.lexicon) for w in words[at : at + WORDS_AT_ONCE]]
-            starts = np.cumsum([0, *map(len, features[:-1])])
-            parts.append(np.add.reduceat(self.emission[np.concatenate(features)], starts, axis=0))
+            ends = np.cumsum(list(map(len, features)))
+            index = np.fromiter(chained.from_iterable(features), np.int64, ends[-1])
+            parts.append(np.add.reduceat(self.emission[index], np.concatenate([[0], ends[:-1]]), axis=0))
         return np.vstack(parts)
 
 
