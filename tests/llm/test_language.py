@@ -4,6 +4,7 @@ from itertools import product
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +115,45 @@ def test_features_are_hashes_of_their_names(monkeypatch):
     assert [language.word_features(w, {"abc": 7}) for w in words] == list(map(plain, words)) and not hashed
     monkeypatch.setattr(language, "MEMO_PARTS", 0)
     assert [language.word_features(w, {}) for w in ("neverseen", "neverseen")] == [plain("neverseen")] * 2
+
+
+def test_words_are_scored_without_hashing_their_parts(monkeypatch):
+    """Scores are the sums over ``word_features``; words of letters met before cost no hash at all."""
+    words = ["a", "ab", "abc", "abcd", "abcde", "straße", "слово", "語", "語彙", "a" * 300, "𝔞𝔟𝔠𝔡𝔢", "i̇", "bade"] * 3
+    rng = np.random.default_rng(1)
+    model = CrfModel(["a", "b", "c"], {"abc": 1, "語": 0}, rng.normal(size=(language.BUCKETS + 2, 3)), np.eye(3), np.zeros(3))
+    want = [sum(model.emission[i] for i in language.word_features(w, model.lexicon)) for w in words]
+    monkeypatch.setattr(language, "WORDS_AT_ONCE", 5)
+    characters = language._Characters()
+    assert np.allclose(model.word_scores(words, characters), want)
+    hashed = []
+    monkeypatch.setattr(language, "crc32", lambda x: hashed.append(x) or crc32(x))
+    assert model.word_scores(["eda", "teß", "волос", "彙語彙"], characters).shape == (4, 3) and not hashed
+
+
+def test_blocks_change_no_posterior_of_long_chains(monkeypatch):
+    rng = np.random.default_rng(7)
+    scores, transitions, start = rng.normal(size=(5003, 3)) * 4, rng.normal(size=(3, 3)), rng.normal(size=3)
+    first = rng.random(5003) < 0.002
+    first[0] = True
+    found = []
+    for chain in (2, 64, 5003):
+        monkeypatch.setattr(language, "CHAIN", chain)
+        found.append(forward_backward(scores, first, transitions, start))
+    assert np.allclose(found[0], found[2]) and np.allclose(found[1], found[2])
+
+
+def test_workers_keep_nothing_of_words(spark):
+    """After a task its worker holds no parts of words: nothing stays beside what later stages need."""
+    model = CrfModel(["a", "b"], {}, np.random.default_rng(0).normal(size=(language.BUCKETS, 2)), np.eye(2), np.zeros(2))
+
+    @F.arrow_udf("long")
+    def held(text: pa.Array) -> pa.Array:
+        from wicketworks.llm import language as own
+
+        return pa.array([len(own._HEADS) + len(own._TAILS) + len(own._GRAMS)] * len(text), pa.int64())
+
+    docs = spark.createDataFrame([(f"words{i} of some texts",) for i in range(64)], "text string").repartition(1)
+    before = docs.select(held("text").alias("n")).agg(F.max("n")).first()[0]
+    assert docs.select(label_documents(F.col("text"), model).alias("l")).where("l.n_words = 4").count() == 64
+    assert docs.select(held("text").alias("n")).agg(F.max("n")).first()[0] == before == 0

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,12 +40,28 @@ def release_memory() -> None:
     import ctypes
     import gc
 
+    import pyarrow as pa
+
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
 
 
+def releasing(made: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``made``, after whose last batch the worker, which stays for later tasks, gives its memory back."""
+
+    @wraps(made)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from made(batches)  # its frame, and all that it remembered, is gone behind this
+        finally:
+            release_memory()
+
+    return run
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges`` (a long, b long): ``node`` and ``root``, one row per node.
 

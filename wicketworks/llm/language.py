@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wicketworks.llm.common import release_memory, whole_row
+from wicketworks.llm.common import release_memory, releasing, whole_row
 
 UNKNOWN = "und"
 # The training sample: documents per language, stretches of a document and words of a stretch.
@@ -42,7 +42,9 @@ BATCH_CHARS = 512 << 10
 def letters_of(token: str) -> str:
     """The token's letters, lower-cased; empty for numbers and punctuation."""
     if not token.isalpha():
-        token = "".join(filter(str.isalpha, token))
+        token = token.rstrip(".,;:!?")
+        if not token.isalpha():
+            token = "".join(filter(str.isalpha, token))
     return token.lower()
 
 
@@ -76,6 +78,76 @@ def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
     return found
 
 
+class _Characters:
+    """Hashes of the features of many words at once: the buckets that ``word_features`` names.
+
+    A CRC32 is the exclusive or of what each character adds, given the bytes behind it, and of a part that the length alone decides.
+    """
+
+    def __init__(self) -> None:
+        self.place = np.zeros(0x110000, np.int32)  # by code point; 0: not met yet
+        self.bytes = np.zeros(1, np.int64)
+        self.adds = np.zeros((1, 4 * 3 + 1), np.uint32)
+        self.plain = np.array([crc32(bytes(n)) for n in range(4 * 4 + 2)], np.uint32)
+        self.marks = {m: np.array([crc32(m + bytes(n)) for n in range(4 * 4 + 1)], np.uint32) ^ self.plain[1:] for m in (b"p", b"s")}
+
+    def numbers(self, text: str) -> np.ndarray:
+        """The text's characters as rows of the tables, which grow by those not met before."""
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        found = self.place[codes]
+        if not found.all():
+            new = np.unique(codes[found == 0])
+            coded = [chr(c).encode() for c in new.tolist()]
+            self.place[new] = np.arange(len(new)) + len(self.bytes)
+            adds = [[crc32(c + bytes(n)) for n in range(self.adds.shape[1])] for c in coded]
+            many = np.fromiter(map(len, coded), np.int64, len(coded))
+            self.adds = np.vstack([self.adds, np.array(adds, np.uint32) ^ self.plain[many[:, None] + np.arange(self.adds.shape[1])]])
+            self.bytes = np.concatenate([self.bytes, many])
+            found = self.place[codes]
+        return found
+
+    def buckets(self, numbers: np.ndarray, at: np.ndarray, length: int, mark: bytes = b"") -> np.ndarray:
+        """Buckets of the parts of ``length`` characters from each place ``at`` on, behind a mark."""
+        behind, value = np.zeros(len(at), np.int64), np.zeros(len(at), np.uint32)
+        for i in range(length - 1, -1, -1):
+            own = numbers[at + i]
+            value ^= self.adds[own, behind]
+            behind += self.bytes[own]
+        if mark:
+            value ^= self.marks[mark][behind]
+            behind += 1
+        return (value ^ self.plain[behind]) % np.uint32(BUCKETS)
+
+
+def _entering(steps: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The message before each of many transfer matrices, as ``start`` is carried over them one by one.
+
+    The matrices are cut into about as many groups as a group has; the groups advance side by side.
+    """
+    n, k = steps.shape[:2]
+    size = int(np.sqrt(n)) + 1
+    groups = -(-n // size)
+    padded = np.broadcast_to(np.eye(k), (groups * size, k, k)).copy()
+    padded[:n] = steps
+    padded = padded.reshape(groups, size, k, k)
+    whole = padded[:, 0]
+    for t in range(1, size):
+        whole = whole @ padded[:, t]
+        whole = whole / whole.max((1, 2), keepdims=True)
+    state = np.empty((groups, 1, k))
+    message = start / start.sum()
+    for g in range(groups):
+        state[g, 0] = message
+        message = message @ whole[g]
+        message = message / message.sum()
+    out = np.empty((groups, size, k))
+    for t in range(size):
+        out[:, t] = state[:, 0]
+        state = state @ padded[:, t]
+        state = state / state.sum(2, keepdims=True)
+    return out.reshape(-1, k)[:n]
+
+
 def forward_backward(scores: np.ndarray, first: np.ndarray, transitions: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Posterior probability of every label at every word, for chains one behind the other.
 
@@ -95,26 +167,22 @@ def forward_backward(scores: np.ndarray, first: np.ndarray, transitions: np.ndar
     begins = begins.reshape(blocks, CHAIN)
     step, initial = np.exp(transitions - transitions.max()), np.exp(start - start.max())
 
+    starting = [np.flatnonzero(begins[:, t]) for t in range(CHAIN)]
+
     def ahead(state: np.ndarray, t: int) -> np.ndarray:
         """Messages (rows of the last axis) moved over word t of every block."""
-        moved = np.where(begins[:, t][(...,) + (None,) * (state.ndim - 1)], state.sum(-1, keepdims=True) * initial, state @ step)
-        return moved * (emission[:, t] if state.ndim == 2 else emission[:, t, None, :])
+        moved = (state.reshape(-1, k) @ step).reshape(state.shape)
+        if len(starting[t]):
+            moved[starting[t]] = state[starting[t]].sum(-1, keepdims=True) * initial
+        moved *= emission[:, t] if state.ndim == 2 else emission[:, t, None, :]
+        return moved
 
     product = np.broadcast_to(np.eye(k), (blocks, k, k))
     for t in range(CHAIN):
         product = ahead(product, t)
-        product = product / product.max((1, 2), keepdims=True)
-    entering, leaving = np.empty((blocks, k)), np.empty((blocks, k))
-    message = initial / initial.sum()
-    for b in range(blocks):
-        entering[b] = message
-        message = message @ product[b]
-        message = message / message.sum()
-    message = np.ones(k)
-    for b in range(blocks - 1, -1, -1):
-        leaving[b] = message
-        message = product[b] @ message
-        message = message / message.sum()
+        product /= product.max((1, 2), keepdims=True)
+    entering = _entering(product, initial)
+    leaving = _entering(product[::-1].transpose(0, 2, 1), np.ones(k))[::-1]
     alpha = np.empty((CHAIN, blocks, k))
     state = entering
     for t in range(CHAIN):
@@ -127,8 +195,10 @@ def forward_backward(scores: np.ndarray, first: np.ndarray, transitions: np.ndar
         both = alpha[t] * state
         out[:, t] = both / both.sum(1, keepdims=True)
         weighted = emission[:, t] * state
-        state = np.where(begins[:, t, None], (weighted @ initial)[:, None], weighted @ step.T)
-        state = state / state.sum(1, keepdims=True)
+        state = weighted @ step.T
+        if len(starting[t]):
+            state[starting[t]] = (weighted[starting[t]] @ initial)[:, None]
+        state /= state.sum(1, keepdims=True)
     return out.reshape(-1, k)[:n]
 
 
@@ -142,14 +212,33 @@ class CrfModel:
     transitions: np.ndarray
     start: np.ndarray
 
-    def word_scores(self, words: Sequence[str]) -> np.ndarray:
-        """Summed feature weights of each word; features of few words at a time, as they take much memory."""
+    def word_scores(self, words: Sequence[str], characters: _Characters | None = None) -> np.ndarray:
+        """Summed weights of each word's ``word_features``; features of few words at a time, as they take much memory."""
+        characters = characters or _Characters()
         parts = [np.zeros((0, len(self.labels)))]
         for at in range(0, len(words), WORDS_AT_ONCE):
-            features = [word_features(w, self.lexicon) for w in words[at : at + WORDS_AT_ONCE]]
-            ends = np.cumsum(list(map(len, features)))
-            index = np.fromiter(chained.from_iterable(features), np.int64, ends[-1])
-            parts.append(np.add.reduceat(self.emission[index], np.concatenate([[0], ends[:-1]]), axis=0))
+            some = words[at : at + WORDS_AT_ONCE]
+            many = np.fromiter(map(len, some), np.int64, len(some))
+            ends = np.cumsum(many + 2)
+            first = ends - many - 1  # each word's first letter in "<word><word>"
+            numbers = characters.numbers("<" + "><".join(some) + ">")
+            inside = np.ones(len(numbers), bool)
+            inside[ends - 1] = False
+            two = np.flatnonzero(inside)
+            summed = self.emission[characters.buckets(numbers, two, 2)]
+            inside[ends - 2] = False
+            three = np.flatnonzero(inside)
+            summed[inside[two]] += self.emission[characters.buckets(numbers, three, 3)]
+            total = np.add.reduceat(summed, np.cumsum(many + 1) - many - 1, axis=0)
+            for n in range(1, 5):
+                long = np.flatnonzero(many >= n)
+                total[long] += self.emission[characters.buckets(numbers, first[long], n, b"p")]
+                total[long] += self.emission[characters.buckets(numbers, first[long] + many[long] - n, n, b"s")]
+            known = [(i, BUCKETS + self.lexicon[w]) for i, w in enumerate(some) if w in self.lexicon]
+            if known:
+                row, index = np.array(known).T
+                total[row] += self.emission[index]
+            parts.append(total)
         return np.vstack(parts)
 
 
@@ -269,40 +358,57 @@ def training_stretches(docs: DataFrame, label: str, key: Column, text: str = "te
     return [(lang, words) for lang, _, words in found]
 
 
+class _Rows(dict):
+    """Numbers tokens as they are met; those met first since the last look are ``unknown``."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.unknown: list[str] = []
+        self.used = 0
+
+    def __missing__(self, token: str) -> int:
+        self.unknown.append(token)
+        self[token] = row = self.used
+        self.used = row + 1
+        return row
+
+
 class _Tagger:
     """Scores of tokens, remembered, and posteriors of batches of texts."""
 
     def __init__(self, model: CrfModel) -> None:
         self.model = model
+        self.characters = _Characters()
         self.clear()
 
     def clear(self) -> None:
-        self.rows: dict[str, int] = {}
+        self.rows = _Rows()
         self.scores = np.zeros((1 << 12, len(self.model.labels)), np.float32)
-        self.used = 0
+        self.lettered = np.zeros(1 << 12, bool)
 
     def learn(self, tokens: list[str]) -> None:
-        words = [letters_of(t) for t in tokens]
-        lettered = [w for w in dict.fromkeys(words) if w]
-        at = {w: self.used + i for i, w in enumerate(lettered)}
-        end = self.used + len(lettered)
-        if end > len(self.scores):  # doubled, so that words are copied no more than once on average
-            self.scores = np.concatenate([self.scores[: self.used], np.zeros((max(end, 2 * self.used) - self.used, self.scores.shape[1]), np.float32)])
-        self.scores[self.used : end] = self.model.word_scores(lettered)
-        self.used = end
-        self.rows.update((t, at[w] if w else -1) for t, w in zip(tokens, words))
+        """Scores of the tokens that were numbered last."""
+        words = list(map(letters_of, tokens))
+        end = self.rows.used
+        if end > len(self.scores):  # doubled, so that tokens are copied no more than once on average
+            more = max(end, 2 * len(self.scores)) - len(self.scores)
+            self.scores = np.concatenate([self.scores, np.zeros((more, self.scores.shape[1]), np.float32)])
+            self.lettered = np.concatenate([self.lettered, np.zeros(more, bool)])
+        own = np.arange(end - len(tokens), end)
+        self.lettered[own] = has = np.fromiter(map(bool, words), bool, len(words))
+        self.scores[own[has]] = self.model.word_scores(list(filter(None, words)), self.characters)
 
     def posteriors(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """Posteriors of all words, the number of words of each text, and which tokens are words."""
-        if len(self.rows) > MEMO_WORDS:
+        if self.rows.used > MEMO_WORDS:
             self.clear()
         split = [t.split() if t else [] for t in texts]
-        missing = set().union(*split) - self.rows.keys()
-        if missing:
-            self.learn(sorted(missing))
         lookup = self.rows.__getitem__
         rows = [np.fromiter(map(lookup, tokens), np.int64, len(tokens)) for tokens in split]
-        lettered = [np.flatnonzero(r >= 0) for r in rows]
+        missing, self.rows.unknown = self.rows.unknown, []
+        if missing:
+            self.learn(missing)
+        lettered = [np.flatnonzero(self.lettered[r]) for r in rows]
         counts = np.array([len(x) for x in lettered])
         chain = np.concatenate([r[x] for r, x in zip(rows, lettered)])
         first = np.zeros(len(chain), bool)
@@ -323,6 +429,7 @@ def label_documents(text: Column, model: CrfModel) -> Column:
     from wicketworks.llm.pieces import batches_by_bytes, encoder
 
     @F.arrow_udf("struct<lang_pred:string,score:double,n_words:bigint,n_switches:bigint>")
+    @releasing
     def labelled(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder.cache_clear()  # what another operator remembered in this worker would stay beside this one's memo
         release_memory()
@@ -362,6 +469,7 @@ def word_confidence(text: Column, model: CrfModel) -> Column:
     from wicketworks.llm.pieces import batches_by_bytes, encoder
 
     @F.arrow_udf("double")
+    @releasing
     def judged(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder.cache_clear()  # what another operator remembered in this worker would stay beside this one's memo
         release_memory()
