@@ -2,6 +2,7 @@
 
 import random
 import re
+import weakref
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 import corpus_pipeline
 from tests.llm.edge import SCHEMA, clashing, edge_documents
 from tests.llm.test_simhash import plain_fingerprint, plain_roots
-from wicketworks.llm import similar
+from wicketworks.llm import common, similar
 from wicketworks.llm.similar import drop_similar
 
 
@@ -136,3 +137,21 @@ def test_sketches_rule_out_no_similar_sets():
         assert told or not alike
         ruled_out += not told
     assert ruled_out > 500
+
+
+def test_workers_give_memory_back_behind_the_last_batch(monkeypatch):
+    """Only when all that a function remembered is gone."""
+    freed, held = [], []
+
+    class Memo(dict):
+        pass
+
+    @common.releasing
+    def made(batches):
+        memo = Memo()
+        held.append(weakref.ref(memo))
+        for batch in batches:
+            yield memo.setdefault(batch, batch)
+
+    monkeypatch.setattr(common, "release_memory", lambda: freed.append(held[0]() is None))
+    assert list(made(iter([1, 2]))) == [1, 2] and freed == [True]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wicketworks.llm.common import components, free_name, whole_row
+from wicketworks.llm.common import components, free_name, releasing, whole_row
 from wicketworks.session import materialize
 
 MAX_EDITS = 2
@@ -124,6 +124,7 @@ _ROWS = pa.schema([("sig", pa.int64()), ("line", pa.int64()), ("own", pa.bool_()
 def line_signatures(docs: DataFrame, text: str, edits: int, least_chars: int) -> DataFrame:
     """(sig, line, own) of every distinct line; a task drops lines that it has seen, so a hot line has few rows."""
 
+    @releasing
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
@@ -173,6 +174,7 @@ def _rectangles(rows: DataFrame, group_lines: int) -> DataFrame:
 def _compared(rows: DataFrame, edits: int) -> DataFrame:
     """Links of the parts. A part hands on a forest: two lines that are already joined need not be compared."""
 
+    @releasing
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: tuple | None = None
         texts: dict[int, tuple[str, int]] = {}

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wicketworks.llm.common import components
+from wicketworks.llm.common import components, releasing
 from wicketworks.session import materialize
 
 BITS = 64
@@ -49,6 +49,7 @@ def fingerprint(text: Column, words: int = 3) -> Column:
     """
 
     @F.arrow_udf("long")
+    @releasing
     def hashed(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import numpy as np
 
