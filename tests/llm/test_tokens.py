@@ -34,6 +34,33 @@ def test_pieces_give_the_ids_of_whole_texts(path, kind, texts):
     assert got == want
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(ODD, max_size=6))
+def test_short_pieces_give_the_ids_of_whole_texts(texts):
+    want = [e.ids for e in whole(BYTES).encode_batch(texts, add_special_tokens=False)]
+    library = pieces.encoder(BYTES, "short")
+    assert [np.frombuffer(b"".join(v), "<u2").tolist() for v in library.encode(texts)] == want
+    library.memo = pieces._Memo()  # what is new is encoded with other pieces around it
+    assert [np.frombuffer(b"".join(v), "<u2").tolist() for v in library.encode(texts[::-1])] == want[::-1]
+
+
+def test_short_pieces_behind_any_letter_and_many_to_a_text(monkeypatch):
+    """Each letter with marks around it, line feeds and blanks; new pieces reach the library many to a text."""
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha() and (ord(c) < 0x3400 or 0xA000 <= ord(c) < 0xAC00 or 0xD7A4 <= ord(c) < 0x20000)]
+    texts = [f"{c}, !{c}?\n{c}1 <|endoftext|>\n {c}'s\n\n({c}) -\u00a0{c}  {c}" for c in letters]
+    want = [e.ids for e in whole(BYTES).encode_batch(texts, add_special_tokens=False)]
+    library = pieces.encoder(BYTES, "short")
+    library.memo = pieces._Memo()
+    sent, plain = [], library.library
+    monkeypatch.setattr(library, "library", type("Counting", (), {"encode_batch_fast": staticmethod(lambda x, **k: sent.append(len(x)) or plain.encode_batch_fast(x, **k))}))
+    got = [np.frombuffer(b"".join(v), "<u2").tolist() for v in library.encode(texts)]
+    assert [t for t, x, y in zip(texts, got, want) if x != y] == []
+    library.memo = pieces._Memo()
+    sent.clear()
+    list(library.encode([" ".join(f"new{i}" for i in range(2560))]))
+    assert sum(sent) <= 12
+
+
 # Letters that NFC or lower-casing turns into a letter and a mark.
 SPLIT = [c for c in map(chr, range(0x110000)) if c.isalpha() and len(normalize("NFC", normalize("NFC", c).lower())) > 1]
 

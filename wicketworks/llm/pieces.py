@@ -27,9 +27,12 @@ _UNUSUAL = ("  ", "\n\n", " \n", "\n ", *_SEPARATORS, *_OTHER_SPACE)
 _RUNS = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 _WORDS = re.compile(r"[\S\x1c-\x1f]+")
 _CLOSING = ".,;:!?"
-# Pieces that are encoded as one text, and the character between them.
+# Pieces that are encoded as one text, and what stands between them: where white space is dropped a character that is a
+# token, where it is kept a line feed, which leaves a piece that has one blank at most, in front, as it is alone.
 JOINED_PIECES = 256
-_BETWEEN = "\x01"
+_BETWEEN_BARE = " \x01 "
+_BETWEEN_SPACED = "\n"
+_ONE_WORD = re.compile(r" ?\S+")
 
 
 @lru_cache(maxsize=1 << 14)
@@ -69,10 +72,10 @@ class _Memo(dict):
 class PieceEncoder:
     """Encodes texts through their pieces; ``value`` turns a piece's ids into what is kept.
 
-    ``joined`` is for tokenizers that drop white space: many pieces are then encoded as one text.
+    With ``joined``, many pieces are encoded as one text with it between them.
     """
 
-    def __init__(self, path: str, split: Callable[[str], list[str]], value: Callable[[list[int]], object], joined: bool = False) -> None:
+    def __init__(self, path: str, split: Callable[[str], list[str]], value: Callable[[list[int]], object], joined: str | None = None) -> None:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -81,19 +84,26 @@ class PieceEncoder:
         self.split = split
         self.value = value
         self.memo = _Memo()
-        mark = self.library.encode(_BETWEEN, add_special_tokens=False).ids
-        self.between = mark[0] if joined and len(mark) == 1 else None
+        self.joined = joined
+        mark = self.library.encode(joined, add_special_tokens=False).ids if joined else []
+        self.between = mark[0] if len(mark) == 1 else None
 
     def _single(self, pieces: list[str]) -> list:
         return list(map(self.value, map(attrgetter("ids"), self.library.encode_batch_fast(pieces, add_special_tokens=False))))
 
     def _values(self, pieces: list[str]) -> list:
-        """The value of each piece. A piece between blanks has the ids that it has alone, and a text costs less than many
+        """The value of each piece. A piece between others has the ids that it has alone, and a text costs less than many
         do; a run in which the id between pieces is met inside a piece as well is encoded piece by piece."""
         if self.between is None:
             return self._single(pieces)
+        if self.joined == _BETWEEN_SPACED:
+            odd = [p for p in pieces if not _ONE_WORD.fullmatch(p)]
+            if odd:
+                alone = dict(zip(odd, self._single(odd)))
+                rest = iter(self._values([p for p in pieces if p not in alone]))
+                return [alone[p] if p in alone else next(rest) for p in pieces]
         runs = [pieces[i : i + JOINED_PIECES] for i in range(0, len(pieces), JOINED_PIECES)]
-        texts = [f" {_BETWEEN} ".join(run) for run in runs]
+        texts = [self.joined.join(run) for run in runs]
         out = []
         for run, encoded in zip(runs, self.library.encode_batch_fast(texts, add_special_tokens=False)):
             ids = encoded.ids
@@ -168,5 +178,5 @@ def encoder(path: str, kind: str) -> PieceEncoder:
     if kind == "count":
         return PieceEncoder(path, spaced_pieces, len)
     if kind == "short":
-        return PieceEncoder(path, spaced_pieces, lambda ids: array("H", ids).tobytes())
-    return PieceEncoder(path, bare_pieces, packed, joined=True) if kind == "words" else PieceEncoder(path, spaced_pieces, packed)
+        return PieceEncoder(path, spaced_pieces, lambda ids: array("H", ids).tobytes(), joined=_BETWEEN_SPACED)
+    return PieceEncoder(path, bare_pieces, packed, joined=_BETWEEN_BARE) if kind == "words" else PieceEncoder(path, spaced_pieces, packed)
