@@ -61,6 +61,40 @@ def test_short_pieces_behind_any_letter_and_many_to_a_text(monkeypatch):
     assert sum(sent) <= 12
 
 
+PLAIN = [c for c in map(chr, range(0x100)) if c.isalpha() and c not in "\u00aa\u00b5\u00ba"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*PLAIN, *"  \n.,;:!?#$%&*'"]), max_size=80).map("".join), max_size=4))
+@pytest.mark.parametrize("path,kind", [(BYTES, "spaced"), (BYTES, "short"), (WORDS, "words")])
+def test_plain_words_and_marks(path, kind, texts):
+    want = [e.ids for e in whole(path).encode_batch(texts, add_special_tokens=False)]
+    got = [np.frombuffer(b"".join(v), "<u2" if kind == "short" else "<u4").tolist() for v in pieces.encoder(path, kind).encode(texts)]
+    assert got == want
+
+
+@pytest.mark.parametrize("path,kind", [(BYTES, "short"), (WORDS, "words")])
+def test_plain_words_are_encoded_by_the_model_alone(monkeypatch, path, kind):
+    """Only what is no plain word reaches the whole library, whatever stands behind a word."""
+    texts = [" ".join(f"{a}{b}{c}" + (".", "", ",***")[i % 3] for i, c in enumerate(PLAIN)) for a in "aéZÿ" for b in PLAIN] + ["x1 2"]
+    want = [e.ids for e in whole(path).encode_batch(texts, add_special_tokens=False)]
+    library = pieces.encoder(path, kind)
+    library.memo = pieces._Memo()
+    sent, plain = [], library.library
+    monkeypatch.setattr(library, "library", type("Counting", (), {"encode_batch_fast": staticmethod(lambda x, **k: sent.extend(x) or plain.encode_batch_fast(x, **k))}))
+    got = [np.frombuffer(b"".join(v), "<u2" if kind == "short" else "<u4").tolist() for v in library.encode(texts)]
+    assert got == want
+    assert len(sent) <= 4 and not any(c.isalpha() for t in sent for c in t.replace("x1", ""))
+
+
+def test_an_added_token_of_letters_is_no_plain_word(tmp_path):
+    library = Tokenizer.from_file(BYTES)
+    library.add_tokens(["ing"])
+    library.save(str(tmp_path / "t.json"))
+    one = pieces.PieceEncoder(str(tmp_path / "t.json"), pieces.spaced_pieces, list)
+    assert [sum(v, []) for v in one.encode(["singing ing."])] == [library.encode("singing ing.").ids]
+
+
 # Letters that NFC or lower-casing turns into a letter and a mark.
 SPLIT = [c for c in map(chr, range(0x110000)) if c.isalpha() and len(normalize("NFC", normalize("NFC", c).lower())) > 1]
 

@@ -77,8 +77,6 @@ def plan_best_fit(counts: dict[int, int], capacity: int) -> tuple[list[Step], in
 
 def pieces_of(text: Column, tokenizer_path: str, capacity: int, end_id: int = 0, keep_ids: bool = False) -> Column:
     """Array of a text's pieces: piece, start, length, CRC-32 of the ids (little-endian unsigned 32 bits), ids if asked for."""
-    fields = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
-    kind = pa.struct([*fields, *([("ids", pa.binary())] if keep_ids else [])])
     sql = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint" + (",ids:binary>>" if keep_ids else ">>")
     end = end_id.to_bytes(4, "little")
 
@@ -86,17 +84,28 @@ def pieces_of(text: Column, tokenizer_path: str, capacity: int, end_id: int = 0,
     def cut(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         library = encoder(tokenizer_path, "words")
         for part in parts:
-            rows = []
+            numbers: list[int] = []
+            starts: list[int] = []
+            lengths: list[int] = []
+            sums: list[int] = []
+            kept: list[bytes] = []
+            offsets = [0]
             for batch in batches_by_bytes(part.to_pylist(), BATCH_CHARS):
                 for values in library.encode(batch):
                     ids = b"".join((*values, end))
-                    row = []
                     for i, at in enumerate(range(0, len(ids), 4 * capacity)):
                         piece = ids[at : at + 4 * capacity]
-                        one = {"piece": i, "start": at // 4, "length": len(piece) // 4, "ids_crc32": crc32(piece)}
-                        row.append(one | {"ids": piece} if keep_ids else one)
-                    rows.append(row)
-            yield pa.array(rows, pa.list_(kind))
+                        numbers.append(i)
+                        starts.append(at // 4)
+                        lengths.append(len(piece) // 4)
+                        sums.append(crc32(piece))
+                        if keep_ids:
+                            kept.append(piece)
+                    offsets.append(len(numbers))
+            columns = [pa.array(numbers, pa.int32()), *(pa.array(c, pa.int64()) for c in (starts, lengths, sums))]
+            names = ["piece", "start", "length", "ids_crc32"]
+            rows = pa.StructArray.from_arrays([*columns, pa.array(kept, pa.binary())] if keep_ids else columns, [*names, "ids"] if keep_ids else names)
+            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rows)
 
     return cut(text)
 

@@ -1,16 +1,15 @@
 """Encoding long texts piece by piece.
 
 Public tokenizers split a text into words before they merge, so a text can be cut where a
-word must begin and the pieces encoded one by one. The distinct pieces of a batch are
-encoded together by the library, once; a bounded memo keeps them for the next batch of the
-same worker. The ids of a text are the ids of its pieces in order, exactly as if the
+word must begin and the pieces encoded one by one. A piece of plain letters is encoded by the
+library's model where it is first met, the other distinct pieces of a batch together by the whole
+library; a bounded memo keeps them for the next batch of the same worker. The ids of a text are the ids of its pieces in order, exactly as if the
 library had encoded the whole text (tests compare both).
 """
 
 from __future__ import annotations
 
 import re
-from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from operator import attrgetter
@@ -33,6 +32,12 @@ JOINED_PIECES = 256
 _BETWEEN_BARE = " \x01 "
 _BETWEEN_SPACED = "\n"
 _ONE_WORD = re.compile(r" ?\S+")
+# Letters that NFC leaves as they are and that lower-casing turns into one letter: a piece of them alone is one word, which
+# the library's model encodes without the steps before it. ASCII marks behind such a word, up to white space, are a word too.
+_PLAIN_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_MARKS = ".,;:!?#$%&*"
+_PLAIN = re.compile(f"( ?[{_PLAIN_LETTERS}]+)([{_MARKS}]*)")
+_PLAIN_CHARS = re.compile(f"[ {_PLAIN_LETTERS}{_MARKS}]+")
 
 
 @lru_cache(maxsize=1 << 14)
@@ -58,15 +63,19 @@ def bare_pieces(text: str) -> list[str]:
 
 
 class _Memo(dict):
-    """Notes each unknown piece once."""
+    """Values of pieces; an unknown piece is encoded at once if it can be, else noted once."""
 
-    def __init__(self) -> None:
+    def __init__(self, at_once: Callable[[str], object] = lambda piece: None) -> None:
         super().__init__()
         self.unknown: list[str] = []
+        self.at_once = at_once
 
-    def __missing__(self, piece: str) -> None:
-        self.unknown.append(piece)
-        self[piece] = None
+    def __missing__(self, piece: str) -> object:
+        value = self.at_once(piece)
+        if value is None:
+            self.unknown.append(piece)
+        self[piece] = value
+        return value
 
 
 class PieceEncoder:
@@ -81,12 +90,58 @@ class PieceEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
+        self.model = self.library.model
         self.split = split
         self.value = value
         self.memo = _Memo()
         self.joined = joined
         mark = self.library.encode(joined, add_special_tokens=False).ids if joined else []
         self.between = mark[0] if len(mark) == 1 else None
+        self.lower, self.bytes = False, {}
+        self.direct = self._learn_words()
+
+    def _learn_words(self) -> bool:
+        """Whether the model alone gives plain words the ids that the whole library gives them; ``lower`` and ``bytes`` say in
+        what form it must get them. Each letter is tried alone, behind and before others, and all in one word. A token added to
+        the model that may stand in such a word rules it out."""
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        if any(_PLAIN_CHARS.fullmatch(t.content) for t in self.library.get_added_tokens_decoder().values()):
+            return False
+        letters = [c for c in map(chr, range(0x100)) if _PLAIN.fullmatch(c)]
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes = {ord(c): level.pre_tokenize_str(c)[0][0] for c in [" ", *letters]}
+        lead = "" if self.split is bare_pieces else " "
+        tried = [x for c in letters for x in (c, f"{lead}{c}", f"a{c}", f"{lead}B{c}e")]
+        tried += [lead + "".join(letters), "".join(letters[::-1])]
+        want = [e.ids for e in self.library.encode_batch_fast(tried, add_special_tokens=False)]
+        for self.lower in (False, True):
+            if [self._ids(t) for t in tried] == want:
+                return True
+        return False
+
+    def _ids(self, word: str) -> list[int]:
+        """Ids of a plain word, by the model alone."""
+        if self.lower:
+            word = word.lower()
+        if not word.isascii():
+            word = word.translate(self.bytes)
+        elif word[0] == " ":
+            word = self.bytes[32] + word[1:]
+        return [token.id for token in self.model.tokenize(word)]
+
+    def _at_once(self, piece: str) -> object:
+        """The value of a plain word and of the marks behind it; None if the library must encode the whole piece."""
+        plain = _PLAIN.fullmatch(piece) if len(piece) <= MEMO_CHARS else None
+        if plain is None:
+            return None
+        head, tail = plain.groups()
+        if not tail:
+            return self.value(self._ids(head))
+        memo = self.memo
+        if memo.get(tail) is None:
+            memo[tail] = self._single([tail])[0]
+        return memo[head] + memo[tail]
 
     def _single(self, pieces: list[str]) -> list:
         return list(map(self.value, map(attrgetter("ids"), self.library.encode_batch_fast(pieces, add_special_tokens=False))))
@@ -134,19 +189,29 @@ class PieceEncoder:
         """For each text the values of its pieces, in order; values of parts must add up."""
         if len(self.memo) > MEMO_PIECES:
             self.memo = _Memo()
-        lookup = self.memo.__getitem__
-        split = [self.split(t) if t else [] for t in texts]
-        for one in split:
-            deque(map(lookup, one), maxlen=0)
-        new, self.memo.unknown = self.memo.unknown, []
+        memo = self.memo
+        if self.direct:
+            memo.at_once = self._at_once
+        lookup = memo.__getitem__
+        found: list[list] = []
+        waiting: dict[int, list[str]] = {}  # the pieces of texts whose values are not all known yet
+        for text in texts:
+            one = self.split(text) if text else []
+            values = list(map(lookup, one))
+            if memo.unknown and None in values:
+                waiting[len(found)] = one
+            found.append(values)
+        new, memo.unknown = memo.unknown, []
         if new:
             self._learn(new)
-        for one in split:
-            yield list(map(lookup, one))
+        for i, values in enumerate(found):
+            if i in waiting:
+                values = [memo[p] if v is None else v for p, v in zip(waiting[i], values)]
+            yield values
         for piece in new:
             if len(piece) > MEMO_CHARS:
-                self.memo.pop(piece, None)
-                self.memo.pop(piece.rstrip(_CLOSING), None)
+                memo.pop(piece, None)
+                memo.pop(piece.rstrip(_CLOSING), None)
 
 
 def batches_by_bytes(texts: Sequence[str | None], most: int) -> Iterator[list[str | None]]:
