@@ -1,6 +1,8 @@
 """Permutations, training-order shards, mixing and sharding."""
 
+import os
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -10,6 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.edge import SCHEMA, clashing, edge_documents
+from wicketworks.llm import training_order
 from wicketworks.llm.mixing import mix, mixture, split_quotas
 from wicketworks.llm.permute import permuted
 from wicketworks.llm.sharding import shard_by_bytes
@@ -55,6 +58,40 @@ def test_round_trip_of_training_order(spark, tmp_path):
     assert none.count() == 0 and list(read_records(folder)) == []
 
 
+def exchanged_bytes(spark, most):
+    """Bytes of exchanges that lie on disk, as soon as they are below ``most``, at the latest after 20 seconds."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    for _ in range(200):
+        names = [f"{d}/{f}" for top in folders for d, _, files in os.walk(top) for f in files if f.startswith("shuffle_")]
+        size = sum(os.path.getsize(f) for f in names if os.path.exists(f))
+        if size < most:
+            break
+        time.sleep(0.1)
+    return size
+
+
+def test_training_order_exchanges_a_part_at_a_time(spark, monkeypatch):
+    """Shards are written in rounds, and nothing of a round's exchange is left when the next begins."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    start, seen, ranges, write = exchanged_bytes(spark, 0), [], [], training_order._write_shards
+    limit = start + 300_000
+
+    def noted(rows, folder, layout):
+        seen.append(exchanged_bytes(spark, limit))
+        ranges.append(sorted(r.shard for r in rows.select("shard").distinct().collect()))
+        return write(rows, folder, layout)
+
+    monkeypatch.setattr(training_order, "_write_shards", noted)
+    rows, folder = write_training_order(docs, BYTES, shard_records=50)
+    kept = rows.collect()
+    assert sum(2 * r.n_tokens for r in kept) > 1_500_000
+    assert max(*seen, exchanged_bytes(spark, limit)) < limit
+    assert len(ranges) == training_order.ROUNDS and [s for part in ranges for s in part] == list(range(-(-len(kept) // 50)))
+    assert max(len(part) for part in ranges) - min(len(part) for part in ranges) <= 1
+    assert sorted(r.slot for r in kept) == list(range(read_layout(folder).records))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_quotas_are_exact():
     quotas = [100, 1, 0, 37, 5]
     cells = split_quotas(quotas, 7, 2)

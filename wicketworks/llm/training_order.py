@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -23,6 +25,11 @@ SHARD_RECORDS = 16_384
 END_ID = 50_256
 BATCH_CHARS = 4 << 20
 _LOCAL = (1 << 33) - 1
+# Shards are written in so many rounds, so that the exchange never holds more than one round's part of the sequences.
+ROUNDS = 3
+# Tasks of a round at most; a task streams out one shard after the other.
+WRITERS = 4_096
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Layout(NamedTuple):
@@ -119,6 +126,17 @@ def _write_shards(rows: DataFrame, path: str, layout: Layout) -> DataFrame:
     return rows.mapInArrow(write, f"_key {kind}, piece int, n_tokens bigint, slot bigint, shard bigint, ids_crc32 bigint")
 
 
+@contextmanager
+def _exchanges_removed(spark: SparkSession) -> Iterator[None]:
+    """Within, the files of an exchange go when the query that needed them has ended, not when the driver collects garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def write_training_order(
     docs: DataFrame,
     tokenizer_path: str,
@@ -138,8 +156,8 @@ def write_training_order(
 
     One row per sequence: id, ``piece``, ``n_tokens``, ``slot``, ``shard``, ``ids_crc32`` (of the unpadded ids, unsigned 16 bits).
     Null and empty texts are the end id alone, repeated rows are written each, an empty table writes no shard.
-    Encoded sequences are stored once, so numbers and order stay fixed whatever is lost later; then one
-    exchange by ranges of shards brings every shard to one task, which streams it out.
+    Encoded sequences are stored once, so numbers and order stay fixed whatever is lost later; then, in up to ``ROUNDS``
+    rounds over ranges of shards, one exchange brings every shard of the round to one task, which streams it out.
     """
     spark = docs.sparkSession
     made = _sequences(F.col(f"`{text}`"), tokenizer_path, sequence_tokens, end_id)
@@ -160,8 +178,17 @@ def write_training_order(
         out.write(json.dumps(layout._asdict()).encode())
     placed = stored.join(bases, F.col("_p") == F.col("_q")).withColumn("slot", _slot(F.col("_base") + F.col("_i"), records, seed))
     placed = placed.withColumn("shard", F.floor(F.col("slot") / shard_records)).withColumn("n_tokens", (F.octet_length("ids") / 2).cast("long"))
-    ranges = placed.repartitionByRange("shard").sortWithinPartitions("shard", "slot")
-    written = materialize(_write_shards(ranges.select("_key", "piece", "n_tokens", "slot", "shard", "ids"), folder, layout), "written")
+    placed = placed.select("_key", "piece", "n_tokens", "slot", "shard", "ids")
+    shards = -(-records // shard_records)
+    rounds = min(ROUNDS, max(shards, 1))
+    written = []
+    for first, end in ((shards * r // rounds, shards * (r + 1) // rounds) for r in range(rounds)):
+        tasks = max(1, min(end - first, WRITERS))
+        task = F.floor((F.col("shard") - first) * tasks / (end - first)).cast("int") if end > first else F.lit(0)
+        dealt = placed.where(F.col("shard").between(first, end - 1)).repartitionById(tasks, task).sortWithinPartitions("slot")
+        with _exchanges_removed(spark):
+            written.append(materialize(_write_shards(dealt, folder, layout), "written"))
+    written = reduce(DataFrame.union, written)
     return written.withColumnRenamed("_key", doc_id), folder
 
 
