@@ -10,7 +10,7 @@ library had encoded the whole text (tests compare both).
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 from operator import attrgetter
 from unicodedata import normalize
@@ -214,7 +214,7 @@ class PieceEncoder:
                 memo.pop(piece.rstrip(_CLOSING), None)
 
 
-def batches_by_bytes(texts: Sequence[str | None], most: int) -> Iterator[list[str | None]]:
+def batches_by_bytes(texts: Iterable[str | None], most: int) -> Iterator[list[str | None]]:
     """Consecutive runs of texts with about ``most`` characters each; a longer text stands alone."""
     run: list[str | None] = []
     size = 0

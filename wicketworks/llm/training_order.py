@@ -6,6 +6,7 @@ import json
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
+from itertools import chain
 from typing import NamedTuple
 from zlib import crc32
 
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wicketworks.llm.common import releasing
 from wicketworks.llm.permute import permuted
 from wicketworks.llm.pieces import batches_by_bytes, encoder
 from wicketworks.session import materialize, scratch_path
@@ -24,6 +26,8 @@ SEQUENCE_TOKENS = 512
 SHARD_RECORDS = 16_384
 END_ID = 50_256
 BATCH_CHARS = 4 << 20
+# Rows whose texts are turned into strings together.
+ROWS = 1_000
 _LOCAL = (1 << 33) - 1
 # Shards are written in so many rounds, so that the exchange never holds more than one round's part of the sequences.
 ROUNDS = 3
@@ -51,6 +55,7 @@ def _sequences(text: Column, tokenizer_path: str, tokens: int, end_id: int) -> C
     """The text's ids and an end id, cut after every ``tokens`` ids."""
 
     @F.arrow_udf("array<struct<piece:int,ids:binary>>")
+    @releasing
     def cut(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         library = encoder(tokenizer_path, "short")
         end = end_id.to_bytes(2, "little")
@@ -58,7 +63,8 @@ def _sequences(text: Column, tokenizer_path: str, tokens: int, end_id: int) -> C
             ids: list[bytes] = []
             numbers: list[int] = []
             offsets = [0]
-            for batch in batches_by_bytes(part.to_pylist(), BATCH_CHARS):
+            texts = chain.from_iterable(part.slice(at, ROWS).to_pylist() for at in range(0, len(part), ROWS))
+            for batch in batches_by_bytes(texts, BATCH_CHARS):
                 for values in library.encode(batch):
                     whole = b"".join((*values, end))
                     pieces = [whole[at : at + 2 * tokens] for at in range(0, len(whole), 2 * tokens)]
@@ -176,7 +182,9 @@ def write_training_order(
     system.create_dir(root, recursive=True)
     with system.open_output_stream(f"{root}/layout.json") as out:
         out.write(json.dumps(layout._asdict()).encode())
-    placed = stored.join(bases, F.col("_p") == F.col("_q")).withColumn("slot", _slot(F.col("_base") + F.col("_i"), records, seed))
+    # Behind explode the filter of a round takes the slot as it is; else it would be computed once more for the rows that stay.
+    slot = F.explode(F.array(_slot(F.col("_base") + F.col("_i"), records, seed)))
+    placed = stored.join(bases, F.col("_p") == F.col("_q")).withColumn("slot", slot)
     placed = placed.withColumn("shard", F.floor(F.col("slot") / shard_records)).withColumn("n_tokens", (F.octet_length("ids") / 2).cast("long"))
     placed = placed.select("_key", "piece", "n_tokens", "slot", "shard", "ids")
     shards = -(-records // shard_records)
