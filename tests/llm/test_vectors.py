@@ -63,6 +63,24 @@ def test_links_of_edge_vectors(spark, monkeypatch, block_rows, strip_rows):
             break
 
 
+def test_pairs_of_intervals_cross_exchanges_without_their_vectors(spark, monkeypatch):
+    """What is dealt for a pair has a fixed size, whatever its intervals hold, and pairs are dealt over many tasks."""
+    dealt = {}
+
+    def noted(df, name):
+        if name == "grid-links":
+            dealt["row"] = df._jdf.queryExecution().analyzed().children().apply(0).schema().simpleString()
+            dealt["tasks"] = df.rdd.getNumPartitions()
+        return plain(df, name)
+
+    plain = grid_join.materialize
+    monkeypatch.setattr(grid_join, "materialize", noted)
+    vectors = edge_vectors(spark)
+    assert sorted(map(tuple, near_vectors(vectors, block_rows=7).collect()), key=str) == plain_links(vectors.collect())
+    assert dealt["row"] == "struct<a:bigint,b:bigint,left:string,right:string>"
+    assert dealt["tasks"] > 1
+
+
 def test_no_vectors(spark):
     assert near_vectors(spark.createDataFrame([], VECTORS)).count() == 0
     assert near_vectors(spark.createDataFrame([(1, None, 1), (2, None, 1)], VECTORS)).count() == 2

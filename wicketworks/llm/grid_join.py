@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 from math import sqrt
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +15,13 @@ from pyspark.sql import functions as F
 
 from wicketworks.llm.common import components
 from wicketworks.llm.topk import usable
-from wicketworks.session import materialize
+from wicketworks.session import materialize, scratch_path
 
 LEADING = 8
 BLOCK_ROWS = 4096
+# Intervals that a task compares with one that it holds, and the most tasks that pairs are dealt over.
+RUN = 4
+TASKS = 4096
 STRIP_ROWS = 512
 FAN_OUT = 8
 _LOCAL = (1 << 33) - 1
@@ -74,8 +78,34 @@ def _cell_order(vector: Column, axes: np.ndarray, epsilon: float) -> Column:
     return cells(vector)
 
 
-def _intervals(ordered: DataFrame, axes: np.ndarray, rows: int) -> DataFrame:
-    """Consecutive vectors as one row per interval: its box on the axes, unit vectors, classes and their sizes."""
+def _file_system(path: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path)
+
+
+def _write_interval(folder: str, node: int, classes: np.ndarray, sizes: np.ndarray, unit: np.ndarray) -> str:
+    """A file of the shared folder with an interval; its name is new, so an attempt that is repeated disturbs no other."""
+    system, root = _file_system(folder)
+    name = f"{node}-{uuid4().hex}"
+    with system.open_output_stream(f"{root}/{name}") as out:
+        for part in (classes, sizes, unit):
+            out.write(part.tobytes())
+    return name
+
+
+def _read_interval(folder: str, name: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes, their sizes and unit vectors."""
+    system, root = _file_system(folder)
+    with system.open_input_file(f"{root}/{name}") as source:
+        data = source.read_buffer(source.size())
+    n = len(data) // (16 + 8 * width)
+    classes, sizes = np.frombuffer(data, np.int64, 2 * n).reshape(2, n)
+    return classes, sizes, np.frombuffer(data, np.float64, n * width, 16 * n).reshape(n, width)
+
+
+def _intervals(ordered: DataFrame, axes: np.ndarray, rows: int, folder: str) -> DataFrame:
+    """Consecutive vectors as one row per interval: its box on the axes, and its file below ``folder``."""
     placed = ordered.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL)))
     placed = materialize(placed, "grid-order")
     before = W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)  # one row per task that wrote
@@ -83,19 +113,20 @@ def _intervals(ordered: DataFrame, axes: np.ndarray, rows: int) -> DataFrame:
     numbered = placed.join(bases, F.col("_p") == F.col("_q")).withColumn("node", F.floor((F.col("_base") + F.col("_i")) / rows))
     leading = axes.shape[1]
     schema = pa.schema(
-        [("node", pa.int64()), *[(f"{s}{d}", pa.float64()) for d in range(leading) for s in ("lo", "hi")], ("classes", pa.binary()), ("sizes", pa.binary()), ("data", pa.binary())]
+        [("node", pa.int64()), *[(f"{s}{d}", pa.float64()) for d in range(leading) for s in ("lo", "hi")], ("file", pa.string())]
     )
 
     def gathered(group: pa.Table) -> pa.Table:
         group = group.sort_by([("_p", "ascending"), ("_i", "ascending")]).combine_chunks()
         unit = _units(group.column("v").combine_chunks() if group.column("v").num_chunks != 1 else group.column("v").chunk(0), axes.shape[0])
         spots = unit @ axes
-        row = {"node": group.column("node")[0].as_py(), "data": unit.tobytes()}
+        classes, sizes = (np.asarray(group.column(c), np.int64) for c in ("class", "n"))
+        node = group.column("node")[0].as_py()
+        row = {"node": node, "file": _write_interval(folder, node, classes, sizes, unit)}
         row |= {f"{s}{d}": float(f(spots[:, d])) for d in range(leading) for s, f in (("lo", np.min), ("hi", np.max))}
-        row |= {k: np.asarray(group.column(c), np.int64).tobytes() for k, c in (("classes", "class"), ("sizes", "n"))}
         return pa.Table.from_pylist([row], schema=schema)
 
-    kinds = "node bigint, " + ", ".join(f"{s}{d} double" for d in range(leading) for s in ("lo", "hi")) + ", classes binary, sizes binary, data binary"
+    kinds = "node bigint, " + ", ".join(f"{s}{d} double" for d in range(leading) for s in ("lo", "hi")) + ", file string"
     return numbered.select("node", "_p", "_i", "class", "n", "v").groupBy("node").applyInArrow(gathered, kinds)
 
 
@@ -185,8 +216,9 @@ def near_vectors(
 
     Equal vectors are one class with a size, so copies meet only in an aggregation. Classes are ordered by
     grid cells on the leading principal axes and cut into intervals; intervals are joined recursively, boxes that
-    are provably apart are skipped, and each remaining pair of intervals is one product of matrices. A pair
-    hands on counts per class and the edges of a forest, never all its links.
+    are provably apart are skipped, and each remaining pair of intervals is one product of matrices. Intervals lie
+    in files of the shared folder, written once; a pair crosses an exchange as two numbers and two names, and
+    its task reads the files, two at a time. A pair hands on counts per class and the edges of a forest, never all its links.
     """
     if threshold <= 0:
         raise ValueError("the threshold must be above 0")
@@ -200,22 +232,24 @@ def near_vectors(
     axes = principal_axes(classes, width, leading)
     leading = axes.shape[1]
     ordered = classes.withColumn("_cell", _cell_order(F.col("v"), axes, epsilon)).repartitionByRange("_cell", "class").sortWithinPartitions("_cell", "class")
-    blocks = materialize(_intervals(ordered, axes, block_rows), "grid-blocks")
-    boxes = blocks.drop("classes", "sizes", "data")
-    pairs = near_intervals(boxes, leading, epsilon)
-    sides = [blocks.select(F.col("node").alias(f"{x}_node"), F.struct("classes", "sizes", "data").alias(x)) for x in ("left", "right")]
-    shipped = pairs.join(sides[0], F.col("a") == F.col("left_node")).join(sides[1], F.col("b") == F.col("right_node"))
-    dealt = shipped.repartition("a", "b").select("a", "b", "left", "right")
-
-    def read(side: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        ids = np.frombuffer(side["classes"], np.int64)
-        return ids, np.frombuffer(side["sizes"], np.int64), np.frombuffer(side["data"]).reshape(len(ids), width)
+    folder = scratch_path(vectors.sparkSession, "grid-intervals")
+    system, root = _file_system(folder)
+    system.create_dir(root, recursive=True)
+    blocks = materialize(_intervals(ordered, axes, block_rows, folder), "grid-blocks")
+    pairs = near_intervals(blocks.drop("file"), leading, epsilon)
+    sides = [blocks.select(F.col("node").alias(f"{x}_node"), F.col("file").alias(x)) for x in ("left", "right")]
+    named = pairs.join(sides[0], F.col("a") == F.col("left_node")).join(sides[1], F.col("b") == F.col("right_node"))
+    # As many tasks as there are runs: rows as small as these would else be gathered into a few tasks.
+    tasks = max(1, min(TASKS, -(-pairs.count() // RUN)))
+    dealt = named.repartition(tasks, "a", F.floor(F.col("b") / RUN)).sortWithinPartitions("a", "b").select("a", "b", "left", "right")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, left = None, None
         for batch in batches:
-            for r in range(len(batch)):
-                a, b = batch.column("a")[r].as_py(), batch.column("b")[r].as_py()
-                left, right = (read(batch.column(x)[r].as_py()) for x in ("left", "right"))
+            for a, b, file_a, file_b in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "left", "right"))):
+                if a != held:
+                    held, left = a, _read_interval(folder, file_a, width)
+                right = left if a == b else _read_interval(folder, file_b, width)
                 links_a, links_b, edges = _joined_blocks(left, right, a == b, axes, epsilon, threshold)
                 some_a, some_b = links_a > 0, links_b > 0
                 ids = np.concatenate([left[0][some_a], right[0][some_b], edges[0]])
