@@ -185,6 +185,8 @@ def _(t):
 def _(t):
     named = t.orders.select("o_orderkey", samples.split_of("o_orderkey").alias("split"))
     numbered = row_numbers(named, ["split"], ["o_orderkey"], "number").withColumn("number", F.col("number") - 1)
+    # Numbering leaves a whole split to few tasks; the rounds of an epoch cost far more than dealing the numbers anew.
+    numbered = numbered.repartition("split", "number")
     epochs = numbered.withColumn("epoch", F.explode(F.array(F.lit(0), F.lit(1))))
     return samples.epoch_batches(epochs, 16, F.col("epoch")).drop("number")
 

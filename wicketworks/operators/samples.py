@@ -166,20 +166,28 @@ def epoch_batches(
     bit that both see, so that every place is taken once whatever the size of the split. Rows with chunks keep the
     place of their sample; rows without a number have none.
     """
-    sizes = numbered.groupBy(F.col(split).alias("_of")).agg((F.max(number) + 1).alias("_size"))
-    sized = numbered.join(sizes, F.col(split).eqNullSafe(F.col("_of")))
     key = F.concat_ws(":", F.lit(seed).cast("string"), (F.lit(epoch) if isinstance(epoch, int) else epoch).cast("string"))
+    keyed = numbered.withColumn("_key", key)
+    groups = keyed.groupBy(F.col(split).alias("_of"), F.col("_key").alias("_for")).agg((F.max(number) + 1).alias("_size"))
+    # One row per split and epoch: the points of its rounds are drawn here, once, and not again for every sample.
+    sized = groups.groupBy("_of").agg(F.max("_size").alias("_size"), F.collect_list("_for").alias("_for"))
+    sized = sized.select("_of", "_size", F.explode("_for").alias("_for"))
+
+    def turn(r: Column) -> Column:
+        drawn = F.concat_ws(":", "_for", r.cast("string"))
+        point = F.conv(F.substring(F.md5(drawn), 1, 15), 16, 10).cast("bigint")
+        return F.struct(F.pmod(point, "_size").alias("point"), F.concat(drawn, F.lit(":")).alias("drawn"))
+
+    turns = sized.withColumn("_turns", F.transform(F.sequence(F.lit(0), F.lit(rounds - 1)), turn))
 
     def step(place: Column, turn: Column) -> Column:
-        drawn = F.concat_ws(":", key, turn.cast("string"))
-        point = F.conv(F.substring(F.md5(drawn), 1, 15), 16, 10).cast("bigint")
-        mirror = F.pmod(F.pmod(point, "_size") - place, F.col("_size"))
-        bit = F.md5(F.concat_ws(":", drawn, F.greatest(place, mirror).cast("string"))) >= "8"
+        mirror = F.pmod(turn["point"] - place, F.col("_size"))
+        bit = F.md5(F.concat(turn["drawn"], F.greatest(place, mirror).cast("string"))) >= "8"
         return F.when(bit, mirror).otherwise(place)
 
-    turns = F.sequence(F.lit(0), F.lit(rounds - 1))
-    placed = sized.withColumn("place", F.aggregate(turns, F.col(number).cast("bigint"), step))
-    return placed.withColumn("batch_id", F.floor(F.col("place") / batch_size)).drop("_of", "_size")
+    drawn = keyed.join(turns, F.col(split).eqNullSafe(F.col("_of")) & (F.col("_key") == F.col("_for")))
+    placed = drawn.withColumn("place", F.aggregate("_turns", F.col(number).cast("bigint"), step))
+    return placed.withColumn("batch_id", F.floor(F.col("place") / batch_size)).drop("_key", "_of", "_for", "_size", "_turns")
 
 
 def pad_batches(
