@@ -4,6 +4,7 @@ import io
 import uuid
 import zipfile
 
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -375,3 +376,20 @@ def test_settings_are_merged_and_intermediates_released(spark, monkeypatch):
     assert kept[1] == unused and session.release(spark) == 1 and session._SCRATCH == []
     jvm = spark.sparkContext._jvm
     assert not jvm.java.io.File(kept[0].removeprefix("file:")).exists()
+
+
+def test_members_are_handed_on_in_frames_of_bounded_size(spark):
+    """Many small members share a frame, large ones do not pile up, and every member is there once."""
+    from wicketworks.sources.archives import FRAME_CHARS, FRAME_ROWS, _frames, _members
+
+    body = io.BytesIO()
+    with zipfile.ZipFile(body, "w") as archive:
+        for i in range(2 * FRAME_ROWS + 1):
+            archive.writestr(f"{i}.csv", str(i))
+    batch = pd.DataFrame({"path": ["z.zip"], "content": [body.getvalue()]})
+    frames = list(_frames(_members([batch]), ["archive", "file_name", "text"]))
+    assert [len(f) for f in frames] == [FRAME_ROWS, FRAME_ROWS, 1]
+    large = [("a", f"{i}.csv", "x" * (FRAME_CHARS // 2), None) for i in range(5)] + [("a", "6.csv", None, "broken")]
+    assert [len(f) for f in _frames(iter(large), ["archive", "file_name", "text", "reason"])] == [2, 2, 2]
+    made = unpack_archives(spark.createDataFrame([("z.zip", body.getvalue())], "path STRING, content BINARY"))
+    assert made.count() == 2 * FRAME_ROWS + 1

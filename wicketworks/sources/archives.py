@@ -6,7 +6,7 @@ import io
 import posixpath
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,9 @@ from wicketworks.session import materialize
 UNPACKED = "archive STRING, file_name STRING, text STRING"
 _LISTED = "archive STRING, member STRING, reason STRING"
 _READ = "archive STRING, file_name STRING, text STRING, reason STRING"
+# A frame of members is handed on when it has so many rows or so many characters.
+FRAME_ROWS = 1_000
+FRAME_CHARS = 4_000_000
 _BROKEN = (zipfile.BadZipFile, zlib.error, UnicodeDecodeError, NotImplementedError, EOFError, OSError, RuntimeError)
 
 
@@ -27,6 +30,19 @@ def _reason(error: Exception) -> str:
     return f"{type(error).__name__}: {error}"
 
 
+def _frames(rows: Iterator[tuple], columns: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """Rows whose third value is a text, in frames of bounded size: a frame for each row would cost more than reading it."""
+    held, chars = [], 0
+    for row in rows:
+        held.append(row)
+        chars += len(row[2] or "")
+        if len(held) >= FRAME_ROWS or chars >= FRAME_CHARS:
+            yield pd.DataFrame(held, columns=columns, dtype=object)
+            held, chars = [], 0
+    if held:
+        yield pd.DataFrame(held, columns=columns, dtype=object)
+
+
 class _File(io.RawIOBase):
     """A seekable file of any store that Arrow knows, so that a task reads only what it needs of an archive."""
 
@@ -91,6 +107,9 @@ def read_archives(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     listed = materialize(list_members(spark, path), "members")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _frames(members_of(batches), ["archive", "file_name", "text", "reason"])
+
+    def members_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for batch in batches:
             for archive, members in batch.groupby("archive")["member"]:
                 with _File(archive) as source, zipfile.ZipFile(source) as opened:
@@ -100,9 +119,7 @@ def read_archives(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
                             text = opened.read(member).decode("utf-8")
                         except _BROKEN as error:
                             reason = _reason(error)
-                        yield pd.DataFrame(
-                            {"archive": [archive], "file_name": [posixpath.basename(member)], "text": [text], "reason": [reason]}
-                        )
+                        yield archive, posixpath.basename(member), text, reason
 
     members = listed.where("member IS NOT NULL").select("archive", "member").repartition("archive", "member")
     unpacked = materialize(members.mapInPandas(read, _READ), "unpacked")
@@ -111,15 +128,18 @@ def read_archives(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     return unpacked.where("reason IS NULL").drop("reason"), unlisted.unionByName(rejected)
 
 
-def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _members(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
                 for name in _csv_names(archive):
-                    text = archive.read(name).decode("utf-8")
-                    yield pd.DataFrame({"archive": [path], "file_name": [posixpath.basename(name)], "text": [text]})
+                    yield path, posixpath.basename(name), archive.read(name).decode("utf-8")
 
 
 def unpack_archives(archives: DataFrame) -> DataFrame:
     """The CSV members of archives (path, content) that are rows already, without their directories."""
-    return archives.select("path", "content").mapInPandas(_members, UNPACKED)
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _frames(_members(batches), ["archive", "file_name", "text"])
+
+    return archives.select("path", "content").mapInPandas(unpack, UNPACKED)
