@@ -393,3 +393,46 @@ def test_members_are_handed_on_in_frames_of_bounded_size(spark):
     assert [len(f) for f in _frames(iter(large), ["archive", "file_name", "text", "reason"])] == [2, 2, 2]
     made = unpack_archives(spark.createDataFrame([("z.zip", body.getvalue())], "path STRING, content BINARY"))
     assert made.count() == 2 * FRAME_ROWS + 1
+
+
+def test_wide_texts_are_wide_matches_read_once(spark):
+    from wicketworks.sources.match_info import wide_texts
+
+    whole = 'version,2\ninfo,team,A\ninfo, team, "B, the others"\ninfo,gender,male\ninfo,season,2020\ninfo,season,2021\ninfo,winner,A'
+    texts = [
+        ("1_info.csv", whole.replace("\n", "\r\n")),
+        ("2_info.csv", whole.replace("info,winner,A", "info,\"winner\",\"A\"")),
+        ("3_info.csv", "\nversion,2\ninfo,player,A,x"),  # blank first line, no attribute
+        ("4_info.csv", " \r\n  \n"),  # nothing but blank lines
+        ("5_info.csv", ""),
+        ("6_info.csv", None),
+        ("7_info.csv", "info,team,A"),
+        ("7_info.csv", "version,2\ninfo,team,B\ninfo,gender,female\ninfo,season,2020"),  # one match in two files
+        ("none.csv", whole),
+        ("8_info.csv", "info,toss,season\ninfo,player,winner,gender\ninfo,season,,x\ninfo,winner,"),
+    ]
+    files = spark.createDataFrame(texts, "file_name STRING, text STRING")
+    made = wide_texts(files)
+    assert rows(made) == rows(wide_matches(split_text(files)))
+    assert {r.match_id for r in made.collect()} == {1, 2, 3, 7, 8, None}
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_written_rosters_of_info_texts(spark, tmp_path):
+    """Customers of any number, and none, have the roster lines that their number gives."""
+    from wicketworks.catalog.registry import Tables
+    from wicketworks.catalog.sources import info_texts
+
+    keys = [0, 1, 9, 49, 50, 51, 99, 100, 14999, -1, -7, None]
+    orders = spark.createDataFrame([(i, k, "F", "2020-01-01") for i, k in enumerate(keys)], "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, d STRING")
+    orders.selectExpr("o_orderkey", "o_custkey", "o_orderstatus", "1.0D AS o_totalprice", "CAST(d AS TIMESTAMP_NTZ) AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    made = {r.file_name: r.text.split("\n") for r in info_texts(Tables(spark, str(tmp_path))).collect()}
+    assert len(made) == len(keys)
+    for i, key in enumerate(keys):
+        lines = made[f"{i}_info.csv"]
+        ids = [x.rsplit(",id", 1)[1] for x in lines if x.startswith("info,registry")]
+        if key is None or key < 0:
+            continue
+        drawn = [(key * 22 + j) % 100 for j in range(1, 22 if key % 9 == 0 else 23)]
+        assert ids == [str(k // 6 * 8 + k % 6) for k in drawn]
+        assert [x.rsplit(" ", 1)[1] for x in lines if x.startswith("info,player")] == ids

@@ -63,16 +63,12 @@ def _(t):
     return files.select("file_name", tables.file_key().alias("match_id"))
 
 
-def info_texts(t):
-    """One info text per order; every tenth customer's match has no winner, every ninth's only 21 players."""
-    matches = t.sql(P.OPEN_MATCHES).join(
-        t.orders.select(F.col("o_orderkey").alias("match_id"), "o_custkey"), "match_id"
-    )
-    size = F.when(F.col("o_custkey") % 9 == 0, 21).otherwise(22)
+def _roster_texts(first, size):
+    """The player lines and the registry lines of ``size`` players from number ``first`` on."""
     countries = F.array(*[F.lit(c) for c in P.COUNTRIES])
 
     def number(i):
-        k = (F.col("o_custkey") * 22 + i) % 100
+        k = (first + i) % 100
         return F.floor(k / 6) * 8 + k % 6
 
     def lines(make):
@@ -87,6 +83,26 @@ def info_texts(t):
     def code(i):
         return F.concat(F.lit("id"), number(i).cast("string"))
 
+    return (
+        lines(lambda i: F.concat(F.lit("info,player,"), country(i), F.lit(","), name(i))),
+        lines(lambda i: F.concat(F.lit("info,registry,people,"), name(i), F.lit(","), code(i))),
+    )
+
+
+def info_texts(t):
+    """One info text per order; every tenth customer's match has no winner, every ninth's only 21 players."""
+    matches = t.sql(P.OPEN_MATCHES).join(
+        t.orders.select(F.col("o_orderkey").alias("match_id"), "o_custkey"), "match_id"
+    )
+    size = F.when(F.col("o_custkey") % 9 == 0, 21).otherwise(22)
+    first = F.col("o_custkey") * 22
+    # The rosters repeat: a table of fixed size has those of all customers that are not negative, written out once.
+    written = t.spark.range(200).select((F.col("id") % 100).alias("_first"), F.when(F.col("id") < 100, 21).otherwise(22).alias("_size"))
+    written = written.select("*", *[x.alias(n) for x, n in zip(_roster_texts(F.col("_first"), F.col("_size")), ("_players", "_people"))])
+    listed = (F.when(F.col("o_custkey") >= 0, first % 100) == F.col("_first")) & (size == F.col("_size"))
+    matches = matches.join(F.broadcast(written), listed, "left")
+    players, people = (F.coalesce(n, x) for n, x in zip(("_players", "_people"), _roster_texts(first, size)))
+
     text = F.concat_ws(
         "\n",
         F.lit("version,2.2.0"),
@@ -96,8 +112,8 @@ def info_texts(t):
         F.concat(F.lit("info,gender,"), "gender"),
         F.concat(F.lit("info,season,"), "season"),
         F.concat(F.lit("info,winner,"), "winner"),
-        lines(lambda i: F.concat(F.lit("info,player,"), country(i), F.lit(","), name(i))),
-        lines(lambda i: F.concat(F.lit("info,registry,people,"), name(i), F.lit(","), code(i))),
+        players,
+        people,
     )
     file_name = F.concat(F.col("match_id").cast("string"), F.lit("_info.csv"))
     return matches.select(file_name.alias("file_name"), text.alias("text"))
@@ -131,7 +147,7 @@ def _(t):
         CASE WHEN winner IS NULL THEN 'winner' ELSE '' END AS reject_reason FROM {_OPEN}""",
 )
 def _(t):
-    wide = match_info.wide_matches(match_info.split_text(info_texts(t)))
+    wide = match_info.wide_texts(info_texts(t))
     return wide.fillna("", subset=["winner", "reject_reason"])
 
 
