@@ -189,3 +189,44 @@ def test_saved_model_scores_the_same(spark, tmp_path):
     model = modeling.baseline_classifier(["a"], weightCol="weight").fit(modeling.weighted(df, ["a"]))
     again = modeling.load_model(modeling.save_model(model, f"file://{tmp_path}/model"))
     assert rows(modeling.score(model, df, ["id"])) == rows(modeling.score(again, df, ["id"]))
+
+
+def test_quartiles_of_many_steps_are_exact_without_a_large_sketch(spark, monkeypatch):
+    """Ranks as in a sorted list, whatever the brackets: ties, nulls, NaN, large integers, empty columns."""
+    import math
+    import random
+
+    draw = random.Random(3)
+    nan, inf = float("nan"), float("inf")
+    columns = [
+        [draw.gauss(0, 1e6) for _ in range(3000)],
+        [draw.choice([1.0, 2.0, 7.0, None]) for _ in range(3000)],
+        [draw.choice([nan, inf, -inf, 0.0, -0.0, 3.5]) for _ in range(3000)],
+        [None] * 3000,
+        [5.0] * 2999 + [None],
+    ]
+    df = spark.createDataFrame(list(zip(*columns, range(2**40, 2**40 + 3000))), "a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE, `e.f` DOUBLE, g LONG")
+    df = df.repartition(7).withColumn("text", F.lit("x"))
+    shares = [0.0, 0.25, 0.5, 0.75, 1.0]
+    ordered = [sorted((float(x) for x in c if x is not None), key=lambda x: (math.isnan(x), x)) for c in [*columns, range(2**40, 2**40 + 3000)]]
+    wanted = [[c[max(1, math.ceil(p * len(c))) - 1] for p in shares] if c else [None] * 5 for c in ordered]
+    names = ["a", "b", "c", "d", "e.f", "g"]
+    for steps in (profile.SKETCH_STEPS, 20):  # the second sketch is too coarse for its brackets to be narrow
+        found = profile.exact_quantiles(df, names, shares, steps)
+        assert repr([found[n] for n in names]).replace("-0.0", "0.0") == repr(wanted).replace("-0.0", "0.0")
+    tables = {}
+    monkeypatch.setattr(profile, "SKETCH_STEPS", 1000)
+    for accuracy in (1000, 5_000_000):
+        made = profile.column_profile(df.drop("c"), exact_distinct=True, accuracy=accuracy)
+        tables[accuracy] = {r["column"]: (r.q1, r.median, r.q3) for r in made.collect()}
+        assert ("percentile_approx" in made._jdf.queryExecution().analyzed().toString()) == (accuracy == 1000)
+    assert tables[5_000_000] == {n: tuple(w[1:4]) for n, w in zip(names, wanted) if n != "c"} | {"text": (None, None, None)}
+    assert profile.column_profile(df.limit(0), accuracy=5_000_000).count() == 7
+
+
+def test_brackets_that_miss_are_widened(spark):
+    """A rank outside its bracket is never taken for one inside."""
+    df = spark.range(100).select(F.col("id").cast("double").alias("c0"))
+    found = {"x": [None, None, None]}
+    left = profile._select(df, [(0, 0, 10, 20.0, 30.0), (0, 1, 26, 20.0, 30.0), (0, 2, 90, 20.0, 30.0)], found, ["x"])
+    assert left == [(0, 0, 10), (0, 2, 90)] and found == {"x": [None, 25.0, None]}
