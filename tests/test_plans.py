@@ -436,3 +436,34 @@ def test_written_rosters_of_info_texts(spark, tmp_path):
         drawn = [(key * 22 + j) % 100 for j in range(1, 22 if key % 9 == 0 else 23)]
         assert ids == [str(k // 6 * 8 + k % 6) for k in drawn]
         assert [x.rsplit(" ", 1)[1] for x in lines if x.startswith("info,player")] == ids
+
+
+def test_rosters_meet_in_one_exchange_and_pair_as_joins_do(spark):
+    from wicketworks.session import materialize
+
+    def text(players, people, more="info,season,2020"):
+        return "\n".join([more, *[f"info,player,{c},{p}" for c, p in players], *[f"info,registry,people,{p},{i}" for p, i in people]])
+
+    full = [("X", f"p{i}") for i in range(22)]
+    ids = [(f"p{i}", f"id{i}") for i in range(22)]
+    texts = [
+        ("1_info.csv", text(full, [*ids, ("umpire", "u"), ("umpire", "v")])),
+        ("2_info.csv", text(full[:21], ids)),
+        ("3_info.csv", text(full[:20], [*ids[:20], ("p19", "other"), ("p19", "")])),  # 19 players, and one with three ids
+        ("4_info.csv", text(full, ids, "info,gender,male")),
+        ("5_info.csv", text([*full[:20], ("Y", "p0"), ("", "p1")], ids)),  # two players listed twice
+        ("6_info.csv", text(full, ids, "info,season,2021\ninfo,season,2020")),
+        ("7_info.csv", text(full, ids)),
+        ("7_info.csv", text(full, ids)),
+        ("8_info.csv", "version,2"),
+        ("none.csv", text(full, ids)),
+    ]
+    lines = materialize(split_text(spark.createDataFrame(texts, "file_name STRING, text STRING")), "lines")
+    made, divided = (match_files.rosters_from_info(lines, group_rows=limit) for limit in (None, 0))
+    assert rows(made.match_players) == rows(divided.match_players)
+    assert {r.match_id: r["count"] for r in made.match_players.groupBy("match_id").count().collect()} == {1: 22, 3: 22, 5: 22, 6: 22}
+    assert {(r.player, r.player_id) for r in made.match_players.where("match_id = 3 AND player = 'p19'").collect()} == {("p19", "id19"), ("p19", "other"), ("p19", None)}
+    assert {r.season for r in made.match_players.where("match_id = 6").collect()} == {"2021"}
+    assert rows(made.rejected, "match_id", "roster_size") == [(2, 21), (4, 22), (7, 88), (8, 0), (None, 0)]
+    plan = made.match_players._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange ") == 1 and plan.count("FileScan") == 1
