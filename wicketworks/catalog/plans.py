@@ -650,7 +650,8 @@ def whole_batch(done):
 @query("c18_whole_batch", WHOLE_BATCH)
 def _(t):
     seasons = _seasons(t)
+    # Not stored here: the batch writes the lines as its first layer and reads them from there.
     raw = batch.RawTables(
-        _lines(t), t.sql(P.DELIVERIES), seasons, seasons, seasons, t.sql(P.TEAM_SEASONS)
+        split_text(info_texts(t)), t.sql(P.DELIVERIES), seasons, seasons, seasons, t.sql(P.TEAM_SEASONS)
     )
     return whole_batch(batch.process(raw, scratch_path(t.spark, "batch")))
